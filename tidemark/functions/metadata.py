@@ -66,20 +66,20 @@ def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
     ).drop("_attrs")
 
 
-def is_complete() -> Column:
-    """All five attributes were found."""
+def is_complete(attributes: list[str] = METADATA_COLUMNS) -> Column:
+    """All the attributes were found."""
     complete = F.lit(True)
-    for name in METADATA_COLUMNS:
+    for name in attributes:
         complete = complete & F.col(name).isNotNull()
     return complete
 
 
-def require_complete(df: DataFrame, document: str = "value") -> DataFrame:
+def require_complete(df: DataFrame, document: str = "value", attributes: list[str] = METADATA_COLUMNS) -> DataFrame:
     """Fail the job on the first document that lacks an attribute."""
     message = F.concat(
         F.lit("document lacks a required attribute: "), F.coalesce(F.substring(F.col(document), 1, 200), F.lit("null"))
     )
-    return df.withColumn("key", F.when(is_complete(), F.col("key")).otherwise(F.raise_error(message)))
+    return df.withColumn("key", F.when(is_complete(attributes), F.col("key")).otherwise(F.raise_error(message)))
 
 
 def valid_documents(df: DataFrame) -> DataFrame:

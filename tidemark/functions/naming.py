@@ -24,23 +24,29 @@ def encode_table(name: str) -> str:
 
 
 def _unescape(name: Column) -> Column:
-    # url_decode reads '+' as a blank, while in paths it stands for itself
-    return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
+    # url_decode reads '+' as a blank, while in paths it stands for itself; most names hold nothing to decode
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), decoded).otherwise(name)
 
 
 def file_name_of(path: Column) -> Column:
     """Last path element of a file URI."""
-    return _unescape(F.element_at(F.split(path, "/"), -1))
+    return _unescape(F.substring_index(path, "/", -1))
 
 
 def table_of_path(path: Column) -> Column:
     """Table that a snapshot file URI belongs to, from its directory: ``<name>`` or ``table=<name>``."""
-    folder = _unescape(F.element_at(F.split(path, "/"), -2))
+    folder = _unescape(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
     # the hive writer escapes once more inside partition directory names
-    plain = F.when(folder.startswith("table="), _unescape(F.regexp_replace(folder, "^table=", ""))).otherwise(folder)
+    plain = F.when(folder.startswith("table="), _unescape(F.substring(folder, 7, 1 << 30))).otherwise(folder)
     return decode_table_name(plain)
 
 
+def in_table_folder(path: Column, snapshot: str) -> Column:
+    """The file lies directly in a directory of the named snapshot, not deeper."""
+    return F.substring_index(path, "/", -3).startswith(f"{snapshot}/")
+
+
 def file_suffix(key: Column) -> Column:
     """md5 of the first key in a file, in hex; part of the file's name."""
     return F.md5(key)

@@ -141,13 +141,14 @@ def _carried(spark, root, prior_name, merged, ids, repeated, small, strict) -> D
     if not small:
         copies = scan_snapshot_keys(spark, root, prior_name, merged, strict=strict)
         return unchanged_documents(first_copies(copies), ids)
-    copies = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=strict)
+    # the pass for repeated documents has checked every line already
+    copies = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=False)
     if repeated is None:
         return unchanged_documents(copies, ids, small=True).select("table", "key", "value")
     blocked = ids.select(*DOCUMENT_KEY).unionByName(repeated)
     single = unchanged_documents(copies, blocked, small=True).select("table", "key", "value")
     # only documents that really occur more than once go through a shuffle
-    several = scan_snapshot_keys(spark, root, prior_name, merged, strict=strict).join(
+    several = scan_snapshot_keys(spark, root, prior_name, merged, strict=False).join(
         F.broadcast(unchanged_documents(repeated, ids, small=True)), DOCUMENT_KEY, "left_semi"
     )
     return single.unionByName(first_copies(several).select("table", "key", "value"))

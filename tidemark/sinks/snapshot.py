@@ -25,11 +25,13 @@ def write_snapshot(
     files whatever its share of the rows; ``documents_total`` saves counting for that. Unordered rows are written
     by the tasks that hold them, without a shuffle.
     """
+    # encoded before the sort: the writer then finds its partition column in order and does not sort again
+    lines = documents.select(encode_table_name(F.col("table")).alias("table"), "key", "value")
     if ordered:
         if documents_total is None:
             documents_total = documents.count()
-        documents = sort_documents(documents, file_count(documents_total, documents_per_file))
-    lines = documents.select(encode_table_name(F.col("table")).alias("table"), "value")
+        lines = sort_documents(lines, file_count(documents_total, documents_per_file))
+    lines = lines.select("table", "value")
     (
         lines.write.mode(mode)
         .partitionBy("table")

@@ -5,12 +5,10 @@ The table directory is the encoded table name, plain or as ``table=<name>``; bot
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
-from tidemark.functions.metadata import require_complete, with_metadata
-from tidemark.functions.naming import file_name_of, table_of_path
+from tidemark.functions.metadata import METADATA_COLUMNS, require_complete, with_metadata
+from tidemark.functions.naming import file_name_of, in_table_folder, table_of_path
 from tidemark.operators.table_set import TableSet
 from tidemark.schema import POINTER_FILE
 from tidemark.sources import storage
@@ -31,16 +29,6 @@ def _path_column():
     return F.col("_metadata.file_path")
 
 
-# scheme and host: ``file:/x`` and ``file:///x`` are the same place
-_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-
-
-def _two_levels_below(path: str):
-    """File URIs directly inside a directory directly below ``path``."""
-    depth = len(re.sub(_STORE, "", path).rstrip("/").split("/"))
-    return F.size(F.split(F.regexp_replace(_path_column(), _STORE, ""), "/")) == depth + 2
-
-
 def _snapshot_path(spark: SparkSession, root: str, name: str) -> str:
     return storage.qualified(spark, f"{root.rstrip('/')}/{name}")
 
@@ -51,7 +39,7 @@ def snapshot_files(spark: SparkSession, root: str, name: str, tables: TableSet |
     if not storage.exists(spark, path):
         return spark.createDataFrame([], "table string, file string, path string, bytes long")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    files = listing.where(_two_levels_below(path)).select(
+    files = listing.where(in_table_folder(_path_column(), name)).select(
         table_of_path(_path_column()).alias("table"),
         file_name_of(_path_column()).alias("file"),
         _path_column().alias("path"),
@@ -75,7 +63,7 @@ def scan_snapshot_lines(
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .where((F.col("value") != "") & _two_levels_below(path))
+        .where((F.col("value") != "") & in_table_folder(_path_column(), name))
         .select(
             table_of_path(_path_column()).alias("table"),
             file_name_of(_path_column()).alias("file"),
@@ -94,12 +82,11 @@ def scan_snapshot_lines(
 def with_keys(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Add the document key. The table stays the directory's, whatever the document says.
 
-    ``strict`` fails on a line that lacks any of the five attributes; otherwise only the key is taken.
+    ``strict`` fails on a line that lacks any of the five attributes, otherwise only the key is required.
     """
-    if not strict:
-        return lines.withColumn("key", F.get_json_object("value", "$.~id"))
-    directory = lines.withColumnRenamed("table", "_directory")
-    parsed = require_complete(with_metadata(directory))
+    parsed = require_complete(
+        with_metadata(lines.withColumnRenamed("table", "_directory")), attributes=METADATA_COLUMNS if strict else ["key"]
+    )
     return parsed.select(F.col("_directory").alias("table"), "key", *[c for c in lines.columns if c != "table"])
 
 
