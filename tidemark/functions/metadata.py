@@ -8,6 +8,8 @@ from tidemark.schema import INTRINSIC_FIELDS
 
 METADATA_COLUMNS = ["table", "key", "version", "lastUpdateTs", "deleted"]
 
+# The usual form, which Spark's own cast reads as it is.
+_PLAIN_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 # Date, optionally a time with a zone; both the extended and the compact form.
 _ISO_TIME = (
     r"^(\d{4})-?(\d{2})-?(\d{2})"
@@ -16,7 +18,10 @@ _ISO_TIME = (
 
 
 def iso_to_millis(text: Column) -> Column:
-    """ISO-8601 text to epoch milliseconds; null when it is not such a time. A time of day needs a zone."""
+    """ISO-8601 text to epoch milliseconds; null when it is not such a time. A time of day needs a zone.
+
+    Give it a plain column: the expression refers to its argument many times.
+    """
 
     def part(group: int, default: str) -> Column:
         found = F.regexp_extract(text, _ISO_TIME, group)
@@ -24,13 +29,13 @@ def iso_to_millis(text: Column) -> Column:
 
     zone = F.regexp_replace(part(8, "Z"), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
     zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
-    # Spark keeps at most microseconds
-    fraction = F.substring(F.translate(part(7, ".0"), ",", "."), 1, 7)
-    moment = F.concat(
+    fraction = F.translate(part(7, ".0"), ",", ".")
+    rebuilt = F.concat(
         part(1, ""), F.lit("-"), part(2, ""), F.lit("-"), part(3, ""), F.lit("T"),
         part(4, "00"), F.lit(":"), part(5, "00"), F.lit(":"), part(6, "00"), fraction, zone,
     )
-    return F.when(text.rlike(_ISO_TIME), F.unix_millis(moment.try_cast("timestamp")))
+    moment = F.when(text.rlike(_PLAIN_TIME), text).when(text.rlike(_ISO_TIME), rebuilt)
+    return F.unix_millis(moment.try_cast("timestamp"))
 
 
 def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
@@ -48,22 +53,28 @@ def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
         ),
     )
 
-    def first(name: str, json_type: str, spark_type: str) -> Column:
+    def first(name: str, of_type, spark_type: str) -> Column:
         hits = F.filter(
-            F.col("_attrs"),
-            lambda e: (e["key"] == name) & F.schema_of_variant(e["value"]).rlike(json_type),
+            F.col("_attrs"), lambda e: (e["key"] == name) & of_type(F.schema_of_variant(e["value"]))
         )
         return F.try_variant_get(F.get(hits, F.lit(0))["value"], "$", spark_type)
 
-    return parsed.withColumns(
+    def text(kind: Column) -> Column:
+        return kind == "STRING"
+
+    def number(kind: Column) -> Column:
+        return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+    found = parsed.withColumns(
         {
-            "table": first("~table", "^STRING$", "string"),
-            "key": first("~id", "^STRING$", "string"),
-            "version": first("~version", r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)", "bigint"),
-            "lastUpdateTs": iso_to_millis(first("~lastUpdateAt", "^STRING$", "string")),
-            "deleted": first("~deleted", "^BOOLEAN$", "boolean"),
+            "table": first("~table", text, "string"),
+            "key": first("~id", text, "string"),
+            "version": first("~version", number, "bigint"),
+            "_updated": first("~lastUpdateAt", text, "string"),
+            "deleted": first("~deleted", lambda kind: kind == "BOOLEAN", "boolean"),
         }
-    ).drop("_attrs")
+    )
+    return found.withColumn("lastUpdateTs", iso_to_millis(F.col("_updated"))).drop("_attrs", "_updated")
 
 
 def is_complete(attributes: list[str] = METADATA_COLUMNS) -> Column:

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from tidemark.schema import BATCH_PARTITIONS, DOCUMENT_KEY
 
 
-def sort_documents(df: DataFrame, partitions: int = BATCH_PARTITIONS) -> DataFrame:
-    """Globally sorted by ``(table, key)`` in that many ranges.
+def sort_documents(df: DataFrame, partitions: int = BATCH_PARTITIONS, leading: tuple[str, ...] = ()) -> DataFrame:
+    """Globally sorted by ``(table, key)`` in that many ranges, after the ``leading`` columns if any.
 
-    The ranges go by both columns, so a table that holds most rows is spread over many of them.
+    The ranges go by all of them, so a table that holds most rows is spread over many ranges.
     """
-    return df.repartitionByRange(partitions, *DOCUMENT_KEY).sortWithinPartitions(*DOCUMENT_KEY)
+    order = [*leading, *DOCUMENT_KEY]
+    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
