@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 
 from tidemark.schema import SNAPSHOT_NAME_FORMAT
 
+# Characters that Spark's partitioned writer escapes in directory names, besides control characters.
+RESERVED_IN_FOLDERS = "\"#%'*/:=?\\{[]^\x7f"
+
 
 def encode_table_name(name: Column) -> Column:
     """Table name to directory name; null stays null."""
@@ -36,12 +39,17 @@ def file_name_of(path: Column) -> Column:
 
 def table_of_path(path: Column) -> Column:
     """Table that a snapshot file URI belongs to, from its directory: ``<name>`` or ``table=<name>``."""
-    folder = _unescape(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
+    folder = folder_name_of(path)
     # the hive writer escapes once more inside partition directory names
     plain = F.when(folder.startswith("table="), _unescape(F.substring(folder, 7, 1 << 30))).otherwise(folder)
     return decode_table_name(plain)
 
 
+def folder_name_of(path: Column) -> Column:
+    """Directory name of a file URI, as it is on disk."""
+    return _unescape(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
+
+
 def in_table_folder(path: Column, snapshot: str) -> Column:
     """The file lies directly in a directory of the named snapshot, not deeper."""
     return F.substring_index(path, "/", -3).startswith(f"{snapshot}/")

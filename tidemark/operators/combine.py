@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE
 
@@ -59,11 +59,11 @@ def fetch_by_location(lines: DataFrame, locations: DataFrame, strict: bool = Tru
 
 def snapshot_file_plan(documents: DataFrame, documents_per_file: int = DOCUMENTS_PER_FILE) -> DataFrame:
     """``table, documents, files``: how many files of the target size each table needs."""
-    size = F.lit(documents_per_file)
     counted = documents.groupBy("table").agg(F.count(F.lit(1)).alias("documents"))
-    full = (F.col("documents") + size - 1 - F.pmod(F.col("documents") + size - 1, size)) / size
-    return counted.withColumn("files", full.cast("bigint"))
+    return counted.withColumn("files", files_for(F.col("documents"), documents_per_file))
 
 
-def file_count(documents: int, documents_per_file: int = DOCUMENTS_PER_FILE) -> int:
-    return max(1, -(-documents // documents_per_file))
+def files_for(documents: Column, documents_per_file: int = DOCUMENTS_PER_FILE) -> Column:
+    """Whole number of files that hold so many documents, in integer arithmetic."""
+    size = F.lit(documents_per_file)
+    return ((documents + size - 1 - F.pmod(documents + size - 1, size)) / size).cast("bigint")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.dates import check_snapshot_order, window_days
 from tidemark.functions.naming import format_snapshot_name, parse_snapshot_name
 from tidemark.functions.payload import decode_payload
-from tidemark.operators.combine import unchanged_documents
+from tidemark.operators.combine import files_for, snapshot_file_plan, unchanged_documents
 from tidemark.operators.newest import (
     change_payloads,
     drop_tombstones,
@@ -25,7 +25,7 @@ from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, LZ4
 from tidemark.session import stage
 from tidemark.sinks.snapshot import copy_files, publish_snapshot, write_snapshot
 from tidemark.sources.change_log import read_change_log, window_changes
-from tidemark.sources.snapshot import latest_snapshot, scan_snapshot_keys, snapshot_files
+from tidemark.sources.snapshot import latest_snapshot, scan_snapshot_keys, scan_snapshot_lines, snapshot_files
 
 # A set of document keys up to this size (with row overhead) is broadcast against the prior snapshot.
 BROADCAST_KEY_BYTES = 512 * 1024 * 1024
@@ -99,10 +99,14 @@ def generate_snapshot(
     updated = counts[0] - deleted
     blocked_bytes = key_bytes(ids)
     small = blocked_bytes <= broadcast_key_bytes
-    repeated = None
+    repeated = prior_lines = None
     if small:
+        # the same pass counts the lines, for sizing only
+        seen = Observation()
         narrow = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=strict)
-        repeated = stage(repeated_documents(narrow), "repeated")
+        counted = narrow.select(*DOCUMENT_KEY).observe(seen, F.count(F.lit(1)).alias("lines"))
+        repeated = stage(repeated_documents(counted), "repeated")
+        prior_lines = seen.get["lines"]
         repeated_bytes = key_bytes(repeated)
         small = blocked_bytes + repeated_bytes <= broadcast_key_bytes
         if not repeated_bytes:
@@ -116,14 +120,26 @@ def generate_snapshot(
     updates = newest.select(
         "table", "key", decode_payload(F.col("encoding"), F.col("content"), has_lz4).alias("value")
     )
-    write_snapshot(updates, target, documents_per_file, updated, mode="overwrite")
+    plan = stage(snapshot_file_plan(drop_tombstones(ids), documents_per_file), "update-plan")
+    write_snapshot(updates, target, documents_per_file, plan, mode="overwrite")
 
     # carried side
+    sizes = stage(_table_sizes(spark, root, prior_name, merged), "sizes")
+    files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
     if regroup is None:
-        sizes = snapshot_files(spark, root, prior_name, merged).agg(F.avg("bytes")).first()[0]
-        regroup = sizes is not None and sizes < SMALL_FILE_BYTES
-    carried = _carried(spark, root, prior_name, merged, ids, repeated, small, strict)
-    write_snapshot(carried, target, documents_per_file, ordered=regroup or not small, mode="append")
+        regroup = bool(files) and size < files * SMALL_FILE_BYTES
+    regroup = regroup or not small
+    if files:
+        carried = _carried(spark, root, prior_name, merged, ids, repeated, small, strict)
+        if regroup:
+            if prior_lines is None:
+                prior_lines = scan_snapshot_lines(spark, root, prior_name, merged, position=False).count()
+            # share of the lines by bytes: only the number of files depends on it
+            estimate = F.ceil(F.col("bytes") * F.lit(prior_lines / max(size, 1)))
+            plan = sizes.select("table", files_for(F.greatest(estimate, F.lit(1)), documents_per_file).alias("files"))
+            write_snapshot(carried, target, documents_per_file, plan, mode="append")
+        else:
+            write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
 
     # unmodified tables
     files = snapshot_files(spark, root, prior_name, copied)
@@ -132,10 +148,16 @@ def generate_snapshot(
     publish_snapshot(spark, output_root, name)
     dropped = status.where(F.col("action") == "drop").select("table").orderBy("table")
     return SnapshotReport(
-        name, days, updated, deleted, copied_files, "broadcast" if small else "shuffle", regroup or not small, dropped
+        name, days, updated, deleted, copied_files, "broadcast" if small else "shuffle", regroup, dropped
     )
 
 
+def _table_sizes(spark, root, prior_name, merged) -> DataFrame:
+    """``table, files, bytes`` of the prior snapshot, from the listing."""
+    listed = snapshot_files(spark, root, prior_name, merged)
+    return listed.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+
+
 def _carried(spark, root, prior_name, merged, ids, repeated, small, strict) -> DataFrame:
     """Prior documents of the merged tables that have no change, each once."""
     if not small:

@@ -4,36 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.naming import encode_table_name
-from tidemark.operators.combine import file_count
-from tidemark.operators.ordering import sort_documents
+from tidemark.functions.naming import RESERVED_IN_FOLDERS, encode_table_name, folder_name_of
+from tidemark.operators.combine import snapshot_file_plan
 from tidemark.schema import DOCUMENTS_PER_FILE, FILES_PER_COPY_TASK, POINTER_FILE
+from tidemark.session import stage
 from tidemark.sources import storage
 
 
+# Upper limit on the tasks of one grouped write; each then writes several files.
+GROUPED_TASKS = 20_000
+
+
+def group_into_files(documents: DataFrame, plan: DataFrame) -> DataFrame:
+    """Bring the documents of each output file together: one shuffle by ``(table, file number)``.
+
+    ``plan`` says how many files each table gets (``table, files``). A document's file follows from its key, so a
+    table with most of the documents is spread over as many groups as it has files, and no sampling pass over the
+    input is needed. Rows come out sorted by table, file number and key.
+    """
+    total = plan.agg(F.sum("files")).first()[0] or 1
+    files = F.greatest(F.coalesce(F.col("files"), F.lit(1)), F.lit(1))
+    numbered = documents.join(plan.select("table", "files"), "table", "left").withColumn(
+        "file_number", F.pmod(F.xxhash64("key"), files)
+    )
+    order = ["table", "file_number"]
+    return numbered.repartition(min(total, GROUPED_TASKS), *order).sortWithinPartitions(*order, "key").drop("files")
+
+
 def write_snapshot(
     documents: DataFrame,
     path: str,
     documents_per_file: int = DOCUMENTS_PER_FILE,
-    documents_total: int | None = None,
-    ordered: bool = True,
+    plan: DataFrame | None = None,
+    grouped: bool = True,
     mode: str = "overwrite",
 ) -> None:
     """``table, key, value`` rows to gzipped JSON lines, one directory per table.
 
-    ``ordered`` range-partitions by ``(table, key)``, so that each table gets about ``rows / documents_per_file``
-    files whatever its share of the rows; ``documents_total`` saves counting for that. Unordered rows are written
-    by the tasks that hold them, without a shuffle.
+    Grouped, each table gets about ``rows / documents_per_file`` files, sorted by key; ``plan`` saves counting for
+    that, else the rows are counted per table first. Ungrouped rows are written by the tasks that hold them,
+    without a shuffle. Either way no file exceeds ``documents_per_file``.
     """
+    if grouped and plan is None:
+        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan")
     # encoded before the sort: the writer then finds its partition column in order and does not sort again
-    lines = documents.select(encode_table_name(F.col("table")).alias("table"), "key", "value")
-    if ordered:
-        if documents_total is None:
-            documents_total = documents.count()
-        lines = sort_documents(lines, file_count(documents_total, documents_per_file))
-    lines = lines.select("table", "value")
+    encoded = encode_table_name(F.col("table"))
+    lines = documents.select(encoded.alias("table"), "key", "value")
+    if grouped:
+        # two names may share a directory
+        folders = plan.select(encoded.alias("table"), "files").groupBy("table").agg(F.sum("files").alias("files"))
+        lines = group_into_files(lines, folders)
     (
-        lines.write.mode(mode)
+        lines.select("table", "value")
+        .write.mode(mode)
         .partitionBy("table")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", documents_per_file)
@@ -44,6 +67,8 @@ def write_snapshot(
 def copy_files(files: DataFrame, target: str, count: int | None = None) -> DataFrame:
     """Copy snapshot files byte for byte, about twenty per task; returns ``table, file, bytes`` as copied.
 
+    File names stay; a plain table directory becomes ``table=<name>`` like the ones the writer makes.
+
     ``files`` is a listing as :func:`tidemark.sources.snapshot.snapshot_files` gives it. Only names are shuffled;
     each task streams its files. A repeated attempt replaces the file, so task retries are harmless. The result is
     lazy: the copy happens when it is counted or written.
@@ -51,10 +76,13 @@ def copy_files(files: DataFrame, target: str, count: int | None = None) -> DataF
     if count is None:
         count = files.count()
     goal = storage.qualified(files.sparkSession, target)
-    spread = files.select("table", "file", "path", encode_table_name(F.col("table")).alias("folder")).repartition(
+    spread = files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder")).repartition(
         max(1, -(-count // FILES_PER_COPY_TASK))
     )
 
+    # plain values and nested functions only: they travel to the executors by value
+    reserved = RESERVED_IN_FOLDERS
+
     def copy(batches):
         import uuid
         from urllib.parse import quote, unquote
@@ -68,12 +96,17 @@ def copy_files(files: DataFrame, target: str, count: int | None = None) -> DataF
             rest = rest if rest.startswith("//") else "//" + rest
             return fs.FileSystem.from_uri(f"{scheme}:{quote(unquote(rest), safe='/:@~=')}")
 
+        def partition_folder(name):
+            if name.startswith("table="):
+                return name
+            return "table=" + "".join(f"%{ord(c):02X}" if c in reserved or ord(c) < 32 else c for c in name)
+
         for batch in batches:
             sizes = []
             for path, folder, file in zip(batch["path"], batch["folder"], batch["file"]):
                 source, source_path = opened(path)
                 sink, base = opened(goal)
-                folder_path = f"{base}/table={folder}"
+                folder_path = f"{base}/{partition_folder(folder)}"
                 sink.create_dir(folder_path, recursive=True)
                 beside = f"{folder_path}/.{file}.{uuid.uuid4().hex}"
                 fs.copy_files(source_path, beside, source_filesystem=source, destination_filesystem=sink)
