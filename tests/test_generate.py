@@ -150,3 +150,42 @@ def test_lookback_reads_a_late_batch(spark, world):
     write_log(spark, [change("test:table:03", "lagging", 1, "20180106", "late")], log)
     generate_snapshot(spark, str(root), str(log), live_frame(spark, LIVE), datetime(2018, 1, 9), lookback_days=1)
     assert document("test:table:03", "lagging", 1, "late") in read_back(root, NEXT)["test:table:03"]
+
+
+def test_vouched_unique_prior_and_scratch_is_cleared(spark, tmp_path):
+    root, log = tmp_path / "root", tmp_path / "log"
+    write_file(root, PRIOR, "t", "a.json", [document("t", f"k{i}") for i in range(10)])
+    point_at(root, PRIOR)
+    write_log(spark, [change("t", "k3", 2, "20180107", "new"), change("t", "k4", 2, "20180107", deleted=True)], log)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    for step, limit in enumerate((1 << 20, 0)):
+        out = tmp_path / f"out{step}"
+        report = generate_snapshot(
+            spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9), output_root=str(out),
+            prior_unique=True, broadcast_key_bytes=limit, documents_per_file=4,
+        )
+        assert report.strategy == ("shuffle" if step else "broadcast")
+        kept = [document("t", f"k{i}") for i in range(10) if i not in (3, 4)]
+        assert read_back(out, NEXT) == {"t": sorted(kept + [document("t", "k3", 2, "new")])}
+    assert not list(scratch.glob("compaction-*"))
+
+
+def test_lz4_changes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.payload import text_to_lz4
+    from tidemark.sinks.change_log import append_change_log
+    from support import change_frame
+
+    root, log = tmp_path / "root", tmp_path / "log"
+    write_file(root, PRIOR, "t", "a.json", [document("t", "a"), document("t", "b")])
+    point_at(root, PRIOR)
+    rows = change_frame(spark, [change("t", "a", 2, "20180107", "packed"), change("t", "c", 2, "20180107", "plain")])
+    packed = rows.withColumn("encoding", F.when(F.col("key") == "a", 1).otherwise(0)).withColumn(
+        "content", F.when(F.col("key") == "a", text_to_lz4(F.decode("content", "UTF-8"))).otherwise(F.col("content"))
+    )
+    append_change_log(packed, str(log), 1)
+    generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9))
+    assert read_back(root, NEXT) == {
+        "t": sorted([document("t", "a", 2, "packed"), document("t", "b"), document("t", "c", 2, "plain")])
+    }

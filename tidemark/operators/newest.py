@@ -39,7 +39,7 @@ def latest_changes(changes: DataFrame, days: list[str] | None = None, live: Tabl
 
 def latest_change_ids(changes: DataFrame, days: list[str] | None = None, live: TableSet | None = None) -> DataFrame:
     """The same pick without the payload: only narrow columns are read and shuffled."""
-    narrow = changes.select(*DOCUMENT_KEY, *CHANGE_ORDER, "deleted", "pollDate")
+    narrow = changes.select(*DOCUMENT_KEY, *CHANGE_ORDER, "deleted", "encoding", "pollDate")
     return latest_changes(narrow, days, live)
 
 
@@ -48,6 +48,10 @@ def drop_tombstones(newest: DataFrame) -> DataFrame:
     return newest.where(~F.col("deleted"))
 
 
+# What finds a picked change in the log again.
+PAYLOAD_KEY = [*DOCUMENT_KEY, "updateId", "pollDate"]
+
+
 def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False) -> DataFrame:
     """Fetch encoding and payload of the picked changes from the log.
 
@@ -55,7 +59,7 @@ def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False)
     the same id on another day; a row written twice on one day counts once. ``small_ids`` says that the caller
     has measured ``ids`` and a broadcast is safe; then log rows that lost never leave their scan task.
     """
-    on = [*DOCUMENT_KEY, "updateId", "pollDate"]
+    on = PAYLOAD_KEY
     picked = ids.select(*on)
     wide = changes.select(*on, "version", "lastUpdateTs", "deleted", "encoding", "content")
 

@@ -31,6 +31,21 @@ class TableSet:
         size = frame.agg(F.sum(F.octet_length("table") + F.lit(64))).first()[0]
         return TableSet(frame, None, size <= broadcast_bytes)
 
+    @staticmethod
+    def by_action(
+        status: DataFrame, literal_names: int = LITERAL_NAMES, broadcast_bytes: int = BROADCAST_BYTES
+    ) -> dict[str, "TableSet"]:
+        """The sets of tables to ``merge`` and to ``copy`` from ``table, action`` rows, few of them in one job."""
+        wanted = status.where(F.col("action").isin("merge", "copy")).select("table", "action")
+        frames = {action: wanted.where(F.col("action") == action) for action in ("merge", "copy")}
+        rows = wanted.limit(literal_names + 1).collect()
+        if len(rows) <= literal_names:
+            return {
+                action: TableSet(frame.select("table"), tuple(sorted(r["table"] for r in rows if r["action"] == action)))
+                for action, frame in frames.items()
+            }
+        return {action: TableSet.of(frame, literal_names, broadcast_bytes) for action, frame in frames.items()}
+
     def _other_side(self) -> DataFrame:
         return F.broadcast(self.frame) if self.broadcast else self.frame
 

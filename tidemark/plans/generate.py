@@ -5,30 +5,31 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.dates import check_snapshot_order, window_days
 from tidemark.functions.naming import format_snapshot_name, parse_snapshot_name
 from tidemark.functions.payload import decode_payload
 from tidemark.operators.combine import files_for, snapshot_file_plan, unchanged_documents
 from tidemark.operators.newest import (
+    PAYLOAD_KEY,
     change_payloads,
     drop_tombstones,
     first_copies,
     latest_change_ids,
-    latest_changes,
     repeated_documents,
 )
 from tidemark.operators.table_set import TableSet
 from tidemark.operators.tables import classify_tables
 from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, LZ4
-from tidemark.session import stage
+from tidemark.session import scratch_path, stage
 from tidemark.sinks.snapshot import copy_files, publish_snapshot, write_snapshot
+from tidemark.sources import storage
 from tidemark.sources.change_log import read_change_log, window_changes
 from tidemark.sources.snapshot import latest_snapshot, scan_snapshot_keys, scan_snapshot_lines, snapshot_files
 
 # A set of document keys up to this size (with row overhead) is broadcast against the prior snapshot.
-BROADCAST_KEY_BYTES = 512 * 1024 * 1024
+BROADCAST_KEY_BYTES = 256 * 1024 * 1024
 _ROW_OVERHEAD = 64
 # Prior files smaller than this on average are regrouped instead of being carried over task by task.
 SMALL_FILE_BYTES = 8 * 1024 * 1024
@@ -48,10 +49,12 @@ class SnapshotReport:
     dropped: DataFrame = field(repr=False)
 
 
-def key_bytes(keys: DataFrame) -> int:
-    """Size of a key set as a broadcast relation."""
-    size = F.octet_length("table") + F.octet_length("key") + F.lit(_ROW_OVERHEAD)
-    return keys.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+def key_bytes(columns: list[str]) -> Column:
+    """Aggregate: size of the rows as a broadcast relation of these text columns."""
+    size = F.lit(_ROW_OVERHEAD).cast("long")
+    for name in columns:
+        size = size + F.octet_length(name)
+    return F.coalesce(F.sum(size), F.lit(0))
 
 
 def generate_snapshot(
@@ -66,6 +69,7 @@ def generate_snapshot(
     lookback_days: int = 0,
     strict: bool = True,
     regroup: bool | None = None,
+    prior_unique: bool = False,
     broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
 ) -> SnapshotReport:
     """Write the snapshot for time ``when`` below ``output_root`` (default: ``root``) and point ``_LATEST`` at it.
@@ -77,7 +81,8 @@ def generate_snapshot(
     in a broadcast the prior snapshot, by far the larger side, streams past them without a shuffle and only the
     picked payloads are sorted; otherwise both sides meet in a shuffle by ``(table, key)``.
     ``regroup`` sorts the carried-over documents into full-sized files too; by default that is done when the
-    prior files have become small.
+    prior files have become small. ``prior_unique`` vouches that no merged table holds a document twice, which
+    saves the pass that looks for such.
     """
     output_root = output_root or root
     prior_name = latest_snapshot(spark, root)
@@ -87,50 +92,67 @@ def generate_snapshot(
     target = f"{output_root.rstrip('/')}/{name}"
     days = window_days(prior_time, when, lookback_days)
 
+    # one listing of the log serves the whole run: batches that land meanwhile wait for the next window
     window = window_changes(read_change_log(spark, change_log), days)
     status = stage(classify_tables(live, window, copy_unmodified), "status")
-    merged = TableSet.of(status.where(F.col("action") == "merge"))
-    copied = TableSet.of(status.where(F.col("action") == "copy"))
+    work = scratch_path(spark, "compaction")
+    try:
+        report = _write(
+            spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique,
+            broadcast_key_bytes,
+        )
+    finally:
+        storage.delete(spark, work)
+    publish_snapshot(spark, output_root, name)
+    dropped = status.where(F.col("action") == "drop").select("table").orderBy("table")
+    return SnapshotReport(name=name, days=days, dropped=dropped, **report)
+
+
+def _write(
+    spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit
+) -> dict:
+    sets = TableSet.by_action(status)
+    merged, copied = sets["merge"], sets["copy"]
 
     # changed side
-    ids = stage(latest_change_ids(window, live=merged), "changed")
-    counts = ids.agg(F.count(F.lit(1)), F.count_if(F.col("deleted"))).first()
-    deleted = counts[1]
-    updated = counts[0] - deleted
-    blocked_bytes = key_bytes(ids)
-    small = blocked_bytes <= broadcast_key_bytes
+    ids = stage(latest_change_ids(window, live=merged), "changed", work)
+    counts = ids.agg(
+        F.count(F.lit(1)).alias("changed"),
+        F.count_if(F.col("deleted")).alias("deleted"),
+        F.count_if(F.col("encoding") == LZ4).alias("lz4"),
+        key_bytes(DOCUMENT_KEY).alias("blocked_bytes"),
+        key_bytes(PAYLOAD_KEY).alias("picked_bytes"),
+    ).first()
+    small = counts["picked_bytes"] <= limit
     repeated = prior_lines = None
-    if small:
+    if small and not prior_unique:
         # the same pass counts the lines, for sizing only
         seen = Observation()
         narrow = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=strict)
         counted = narrow.select(*DOCUMENT_KEY).observe(seen, F.count(F.lit(1)).alias("lines"))
-        repeated = stage(repeated_documents(counted), "repeated")
+        repeated = stage(repeated_documents(counted), "repeated", work)
         prior_lines = seen.get["lines"]
-        repeated_bytes = key_bytes(repeated)
-        small = blocked_bytes + repeated_bytes <= broadcast_key_bytes
+        repeated_bytes = repeated.agg(key_bytes(DOCUMENT_KEY)).first()[0]
+        small = counts["blocked_bytes"] + repeated_bytes <= limit
         if not repeated_bytes:
             repeated = None
 
-    if small:
-        newest = change_payloads(merged.keep(window), drop_tombstones(ids), small_ids=True)
-    else:
-        newest = drop_tombstones(latest_changes(window, live=merged))
-    has_lz4 = not merged.is_empty() and not merged.keep(window).where(F.col("encoding") == LZ4).isEmpty()
-    updates = newest.select(
-        "table", "key", decode_payload(F.col("encoding"), F.col("content"), has_lz4).alias("value")
-    )
-    plan = stage(snapshot_file_plan(drop_tombstones(ids), documents_per_file), "update-plan")
+    newest = change_payloads(merged.keep(window), drop_tombstones(ids), small_ids=small)
+    text = decode_payload(F.col("encoding"), F.col("content"), lz4=counts["lz4"] > 0)
+    updates = newest.select("table", "key", text.alias("value"))
+    plan = stage(snapshot_file_plan(drop_tombstones(ids), documents_per_file), "update-plan", work)
     write_snapshot(updates, target, documents_per_file, plan, mode="overwrite")
 
     # carried side
-    sizes = stage(_table_sizes(spark, root, prior_name, merged), "sizes")
+    sizes = stage(_table_sizes(spark, root, prior_name, merged), "sizes", work)
     files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
     if regroup is None:
         regroup = bool(files) and size < files * SMALL_FILE_BYTES
     regroup = regroup or not small
     if files:
-        carried = _carried(spark, root, prior_name, merged, ids, repeated, small, strict)
+        # a line is checked on its first reading only
+        unchecked = strict and prior_lines is None
+        carried = _carried(spark, root, prior_name, merged, ids, repeated, small, prior_unique, unchecked)
         if regroup:
             if prior_lines is None:
                 prior_lines = scan_snapshot_lines(spark, root, prior_name, merged, position=False).count()
@@ -142,14 +164,17 @@ def generate_snapshot(
             write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
 
     # unmodified tables
-    files = snapshot_files(spark, root, prior_name, copied)
-    copied_files = 0 if copied.is_empty() else copy_files(files, target).count()
+    copied_files = 0
+    if not copied.is_empty():
+        copied_files = copy_files(snapshot_files(spark, root, prior_name, copied), target).count()
 
-    publish_snapshot(spark, output_root, name)
-    dropped = status.where(F.col("action") == "drop").select("table").orderBy("table")
-    return SnapshotReport(
-        name, days, updated, deleted, copied_files, "broadcast" if small else "shuffle", regroup, dropped
-    )
+    return {
+        "updated": counts["changed"] - counts["deleted"],
+        "deleted": counts["deleted"],
+        "copied_files": copied_files,
+        "strategy": "broadcast" if small else "shuffle",
+        "regrouped": regroup,
+    }
 
 
 def _table_sizes(spark, root, prior_name, merged) -> DataFrame:
@@ -158,19 +183,22 @@ def _table_sizes(spark, root, prior_name, merged) -> DataFrame:
     return listed.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def _carried(spark, root, prior_name, merged, ids, repeated, small, strict) -> DataFrame:
+def _carried(spark, root, prior_name, merged, ids, repeated, small, prior_unique, strict) -> DataFrame:
     """Prior documents of the merged tables that have no change, each once."""
+
+    def scan(position: bool) -> DataFrame:
+        return scan_snapshot_keys(spark, root, prior_name, merged, position=position, strict=strict)
+
+    columns = [*DOCUMENT_KEY, "value"]
     if not small:
-        copies = scan_snapshot_keys(spark, root, prior_name, merged, strict=strict)
-        return unchanged_documents(first_copies(copies), ids)
-    # the pass for repeated documents has checked every line already
-    copies = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=False)
+        copies = scan(False) if prior_unique else first_copies(scan(True))
+        return unchanged_documents(copies, ids).select(*columns)
     if repeated is None:
-        return unchanged_documents(copies, ids, small=True).select("table", "key", "value")
+        return unchanged_documents(scan(False), ids, small=True).select(*columns)
     blocked = ids.select(*DOCUMENT_KEY).unionByName(repeated)
-    single = unchanged_documents(copies, blocked, small=True).select("table", "key", "value")
+    single = unchanged_documents(scan(False), blocked, small=True).select(*columns)
     # only documents that really occur more than once go through a shuffle
-    several = scan_snapshot_keys(spark, root, prior_name, merged, strict=False).join(
+    several = scan(True).join(
         F.broadcast(unchanged_documents(repeated, ids, small=True)), DOCUMENT_KEY, "left_semi"
     )
-    return single.unionByName(first_copies(several).select("table", "key", "value"))
+    return single.unionByName(first_copies(several).select(*columns))

@@ -48,7 +48,8 @@ def merge_snapshot(
     """
     window = window_changes(changes, days)
     status = classify_tables(live, window, copy_unmodified)
-    merged = TableSet.of(status.where(F.col("action") == "merge"))
+    sets = TableSet.by_action(status)
+    merged = sets["merge"]
     if late:
         ids = latest_change_ids(window, live=merged)
         newest = change_payloads(merged.keep(window), ids)
@@ -57,5 +58,5 @@ def merge_snapshot(
     result = merge_documents(newest, first_copies(merged.keep(prior)), lz4)
     if not copy_unmodified:
         return result
-    copied = TableSet.of(status.where(F.col("action") == "copy")).keep(prior)
+    copied = sets["copy"].keep(prior)
     return result.unionByName(copied.select("table", "key", "value", F.lit("copy").alias("origin")))

@@ -42,15 +42,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared scratch area and read it back.
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch area (or below ``folder`` in it) and read it back.
 
     Cuts lineage so that a lost executor costs one re-read, and gives the optimizer exact file sizes.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    path = f"{folder}/{label}" if folder else scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

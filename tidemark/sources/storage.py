@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system(spark, path).exists(hadoop_path(spark, path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Path with scheme, as it shows up in ``_metadata.file_path``."""
     return file_system(spark, path).makeQualified(hadoop_path(spark, path)).toUri().toString().rstrip("/")
