@@ -1,0 +1,159 @@
+"""What the plans must look like: pruning, few shuffles, no Python."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from support import change, document, write_file, write_log
+
+from tidemark.operators import combine, newest, ordering, tables
+from tidemark.operators.table_set import TableSet
+from tidemark.plans.merge import merge_snapshot
+from tidemark.session import stage
+from tidemark.sources.change_log import read_change_log, window_changes
+from tidemark.sources.snapshot import scan_snapshot_keys, scan_snapshot_lines, snapshot_files
+
+NAME = "2018-01-07-00-00-00"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"Exchange (?:hash|range|RoundRobin|Single)(?:p|P)artition", text))
+
+
+def live(spark, *tables_):
+    return spark.createDataFrame([(t,) for t in tables_], "`table` string")
+
+
+@pytest.fixture(scope="module")
+def log(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("plans") / "log"
+    write_log(spark, [change(t, k, v, d) for t in "abc" for k in "xy" for v in (1, 2) for d in ("20180107", "20180108", "20180109")], path)
+    return read_change_log(spark, str(path))
+
+
+@pytest.fixture(scope="module")
+def prior(spark, log):
+    # large enough not to be broadcast by its estimate
+    return spark.range(1000).selectExpr("concat('a', id % 3) `table`", "string(id) key", "repeat('v', 10) value", "'f' file", "id line")
+
+
+@pytest.fixture(autouse=True)
+def no_automatic_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_window_and_tables_prune_directories(spark, log):
+    df = newest.latest_changes(log, ["20180107", "20180108"], TableSet.of(live(spark, "a", "b")))
+    text = plan(df)
+    assert re.search(r"PartitionFilters: \[.*pollDate.*IN \(20180107,20180108\).*table.*IN \(a,b\)", text)
+    files = {r[0] for r in df.select("pollDate").distinct().collect()}
+    assert files == {"20180108"} or files <= {"20180107", "20180108"}
+
+
+def test_updated_tables_reads_no_columns(log):
+    assert "ReadSchema: struct<>" in plan(tables.updated_tables(window_changes(log, ["20180107"])))
+
+
+def test_narrow_pick_leaves_the_payload_behind(log):
+    text = plan(newest.latest_change_ids(log, ["20180107"]))
+    assert "content" not in text.split("ReadSchema")[1]
+
+
+def test_newest_pick_limits_before_its_single_shuffle(log):
+    text = plan(newest.newest_per_document(log))
+    assert exchanges(text) == 1
+    partial, final = text.index("Partial"), text.index("Final")
+    shuffle = text.index("Exchange")
+    assert final < shuffle < partial  # printed from the top
+    text = plan(newest.first_copies(log.withColumnRenamed("updateId", "file")))
+    assert exchanges(text) == 1 and "Partial" in text
+
+
+def test_merge_shuffles_each_side_once(spark, log, prior):
+    df = merge_snapshot(prior, log, live(spark, "a", "a0", "a1"), ["20180107"])
+    text = plan(df)
+    assert exchanges(text) == 2
+    assert "FullOuter" in text
+    # the join finds both sides sorted: one sort around each partial and final pick, none for the join
+    assert text.count("Sort [") == 4
+    assert "Python" not in text
+
+
+def test_measured_keys_leave_the_prior_unshuffled(spark, log, prior):
+    text = plan(combine.unchanged_documents(prior, newest.latest_change_ids(log), small=True))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert exchanges(text) == 1  # the pick's own, on narrow columns
+    assert exchanges(plan(combine.unchanged_documents(prior, newest.latest_change_ids(log)))) == 2
+
+
+def test_measured_ids_filter_the_log_in_its_scan(log):
+    ids = stage(newest.latest_change_ids(log), "ids")
+    text = plan(newest.change_payloads(log, ids, small_ids=True))
+    # one shuffle, of picked rows only, in which repeats of a row meet
+    assert "BroadcastHashJoin" in text and exchanges(text) == 1
+    text = plan(newest.change_payloads(log, ids))
+    assert "BroadcastHashJoin" not in text
+
+
+def test_log_order_is_by_range(log):
+    text = plan(ordering.sort_documents(log, 5))
+    assert re.search(r"rangepartitioning\(table.*key.*, 5\)", text)
+
+
+def test_snapshot_scan_prunes_files_and_never_shuffles(spark, tmp_path):
+    for t in "abc":
+        write_file(tmp_path, NAME, t, "f.json", [document(t, f"k{i}") for i in range(3)])
+    chosen = TableSet.of(live(spark, "b"))
+    df = scan_snapshot_keys(spark, str(tmp_path), NAME, chosen)
+    assert df.count() == 3
+    text = plan(df)
+    assert exchanges(text) == 0 and "Python" not in text
+    lines = scan_snapshot_lines(spark, str(tmp_path), NAME, chosen)
+    lines.collect()
+    scan = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numOutputRows").get().value() == 3  # of nine in the snapshot
+
+
+def test_listing_opens_no_file(spark, tmp_path):
+    write_file(tmp_path, NAME, "a", "f.json", ["x" * 1000])
+    text = plan(snapshot_files(spark, str(tmp_path), NAME))
+    assert "content" not in text
+
+
+def test_batch_rows_stay_in_the_jvm(spark):
+    from tidemark.streaming.events import parse_events
+    from tidemark.streaming.ingest import change_rows
+
+    pages = spark.range(10).selectExpr("concat('[', id, ']') AS value")
+    rows = change_rows(parse_events(pages).withColumn("pollDate", F.lit("20180107")))
+    text = plan(rows)
+    assert "Python" not in text and exchanges(text) == 1
+
+
+def test_one_key_with_most_rows_reaches_the_shuffle_once_per_task(spark):
+    rows = spark.range(0, 40_000, 1, 8).selectExpr(
+        "string(id) updateId", "'t' `table`", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE string(id) END key",
+        "id version", "0L lastUpdateTs", "false deleted", "0 encoding", "binary(string(id)) content", "'20180107' pollDate",
+    )
+    picked = newest.newest_per_document(rows)
+    assert picked.where("key = 'hot'").first()["version"] == 39_999
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        picked = newest.newest_per_document(rows)
+        picked.collect()
+        node = picked._jdf.queryExecution().executedPlan()
+        while not node.nodeName().startswith("Exchange"):
+            node = node.children().head()
+        written = node.metrics().get("shuffleRecordsWritten").get().value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    cold = 40_000 - 13_334
+    assert written == cold + 8
+
+
