@@ -11,6 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemark.session import build_session  # noqa: E402
+from workload import views  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -26,6 +27,7 @@ HEADLINE = [
     "merge_snapshot",
     "merge_snapshot_late",
     "merge_all_live",
+    "merge_partitioned_log",
     "merge_bulk",
     "merge_bulk_late",
     "merge_repeated_prior",
@@ -37,6 +39,7 @@ HEADLINE = [
     "append_change_log",
     "generate_snapshot",
     "generate_snapshot_by_shuffle",
+    "generate_snapshot_all_live",
     "stream_ingest",
 ]
 
@@ -62,6 +65,9 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
+    # files that several queries read are made before the clock starts
+    for fixture in (views.event_log, views.document_log, views.customer_root, views.landing):
+        fixture(spark, sf_dir)
     # class loading and code generation are not the queries' doing
     for name in names[:3]:
         run(name)

@@ -189,3 +189,24 @@ def test_lz4_changes(spark, tmp_path):
     assert read_back(root, NEXT) == {
         "t": sorted([document("t", "a", 2, "packed"), document("t", "b"), document("t", "c", 2, "plain")])
     }
+
+
+def test_plain_names(spark, world):
+    import gzip
+    import hashlib
+    import json
+
+    root, log = world
+    live = live_frame(spark, LIVE)
+    generate_snapshot(spark, str(root), str(log), live, datetime(2018, 1, 9), plain_names=True)
+    assert read_back(root, NEXT) == expected()
+    folders = sorted(p.name for p in (root / NEXT).iterdir() if p.is_dir())
+    assert folders == ["test~table~01", "test~table~02", "test~table~03"]
+    for file in (root / NEXT / "test~table~01").glob("*.gz"):
+        first = json.loads(gzip.decompress(file.read_bytes()).split(b"\n")[0])["~id"]
+        assert file.name == f"test~table~01-{hashlib.md5(first.encode()).hexdigest()}.gz"
+    # the next run reads this layout as well
+    generate_snapshot(spark, str(root), str(log), live, datetime(2018, 1, 9, 0, 0, 1), plain_names=True)
+    want = expected()
+    want["test:table:01"] = sorted(want["test:table:01"] + [document("test:table:01", "late", 1, "on the excluded day")])
+    assert read_back(root, "2018-01-09-00-00-01") == want

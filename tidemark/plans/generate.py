@@ -23,7 +23,7 @@ from tidemark.operators.table_set import TableSet
 from tidemark.operators.tables import classify_tables
 from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, LZ4
 from tidemark.session import scratch_path, stage
-from tidemark.sinks.snapshot import copy_files, publish_snapshot, write_snapshot
+from tidemark.sinks.snapshot import copy_files, name_files, publish_snapshot, write_snapshot
 from tidemark.sources import storage
 from tidemark.sources.change_log import read_change_log, window_changes
 from tidemark.sources.snapshot import latest_snapshot, scan_snapshot_keys, scan_snapshot_lines, snapshot_files
@@ -70,6 +70,7 @@ def generate_snapshot(
     strict: bool = True,
     regroup: bool | None = None,
     prior_unique: bool = False,
+    plain_names: bool = False,
     broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
 ) -> SnapshotReport:
     """Write the snapshot for time ``when`` below ``output_root`` (default: ``root``) and point ``_LATEST`` at it.
@@ -82,7 +83,8 @@ def generate_snapshot(
     picked payloads are sorted; otherwise both sides meet in a shuffle by ``(table, key)``.
     ``regroup`` sorts the carried-over documents into full-sized files too; by default that is done when the
     prior files have become small. ``prior_unique`` vouches that no merged table holds a document twice, which
-    saves the pass that looks for such.
+    saves the pass that looks for such. ``plain_names`` renames the finished files to
+    ``<table>/<table>-<md5 of the first key>.gz``; else they are ``table=<table>/part-….gz``.
     """
     output_root = output_root or root
     prior_name = latest_snapshot(spark, root)
@@ -99,8 +101,10 @@ def generate_snapshot(
     try:
         report = _write(
             spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique,
-            broadcast_key_bytes,
+            broadcast_key_bytes, plain_names,
         )
+        if plain_names:
+            name_files(snapshot_files(spark, output_root, name), target, work=work)
     finally:
         storage.delete(spark, work)
     publish_snapshot(spark, output_root, name)
@@ -109,7 +113,8 @@ def generate_snapshot(
 
 
 def _write(
-    spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit
+    spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit,
+    plain_names,
 ) -> dict:
     sets = TableSet.by_action(status)
     merged, copied = sets["merge"], sets["copy"]
@@ -166,7 +171,8 @@ def _write(
     # unmodified tables
     copied_files = 0
     if not copied.is_empty():
-        copied_files = copy_files(snapshot_files(spark, root, prior_name, copied), target).count()
+        listed = snapshot_files(spark, root, prior_name, copied)
+        copied_files = copy_files(listed, target, plain=plain_names).count()
 
     return {
         "updated": counts["changed"] - counts["deleted"],

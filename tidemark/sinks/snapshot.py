@@ -64,49 +64,65 @@ def write_snapshot(
     )
 
 
-def copy_files(files: DataFrame, target: str, count: int | None = None) -> DataFrame:
-    """Copy snapshot files byte for byte, about twenty per task; returns ``table, file, bytes`` as copied.
+def _file_tools():
+    """Functions for tasks that handle whole files. Nested, so that they travel to the executors by value."""
+    reserved = RESERVED_IN_FOLDERS
 
-    File names stay; a plain table directory becomes ``table=<name>`` like the ones the writer makes.
+    def opened(uri):
+        from urllib.parse import quote, unquote
 
-    ``files`` is a listing as :func:`tidemark.sources.snapshot.snapshot_files` gives it. Only names are shuffled;
-    each task streams its files. A repeated attempt replaces the file, so task retries are harmless. The result is
-    lazy: the copy happens when it is counted or written.
-    """
+        from pyarrow import fs
+
+        # Arrow knows the stores by their plain scheme names and wants reserved characters escaped
+        scheme, _, rest = uri.partition(":")
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        rest = rest if rest.startswith("//") else "//" + rest
+        return fs.FileSystem.from_uri(f"{scheme}:{quote(unquote(rest), safe='/:@~=')}")
+
+    def partition_folder(name):
+        if name.startswith("table="):
+            return name
+        return "table=" + "".join(f"%{ord(c):02X}" if c in reserved or ord(c) < 32 else c for c in name)
+
+    def plain_folder(name):
+        from urllib.parse import unquote
+
+        return unquote(name[len("table="):]) if name.startswith("table=") else name
+
+    return opened, partition_folder, plain_folder
+
+
+def _spread(files: DataFrame, count: int | None) -> DataFrame:
+    """A file listing at about twenty files per task; only names are shuffled."""
     if count is None:
         count = files.count()
-    goal = storage.qualified(files.sparkSession, target)
-    spread = files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder")).repartition(
-        max(1, -(-count // FILES_PER_COPY_TASK))
-    )
+    listed = files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder"))
+    return listed.repartition(max(1, -(-count // FILES_PER_COPY_TASK)))
 
-    # plain values and nested functions only: they travel to the executors by value
-    reserved = RESERVED_IN_FOLDERS
+
+def copy_files(files: DataFrame, target: str, count: int | None = None, plain: bool = False) -> DataFrame:
+    """Copy snapshot files byte for byte, about twenty per task; returns ``table, file, bytes`` as copied.
+
+    ``files`` is a listing as :func:`tidemark.sources.snapshot.snapshot_files` gives it. File names stay; the table
+    directory becomes ``table=<name>`` like the ones the writer makes, or ``<name>`` if ``plain``. Each task streams
+    its files, and a repeated attempt replaces the file, so task retries are harmless. The result is lazy: the copy
+    happens when it is counted or written.
+    """
+    goal = storage.qualified(files.sparkSession, target)
+    opened, partition_folder, plain_folder = _file_tools()
+    folder_for = plain_folder if plain else partition_folder
 
     def copy(batches):
         import uuid
-        from urllib.parse import quote, unquote
 
         from pyarrow import fs
 
-        def opened(uri):
-            # Arrow knows the stores by their plain scheme names and wants reserved characters escaped
-            scheme, _, rest = uri.partition(":")
-            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-            rest = rest if rest.startswith("//") else "//" + rest
-            return fs.FileSystem.from_uri(f"{scheme}:{quote(unquote(rest), safe='/:@~=')}")
-
-        def partition_folder(name):
-            if name.startswith("table="):
-                return name
-            return "table=" + "".join(f"%{ord(c):02X}" if c in reserved or ord(c) < 32 else c for c in name)
-
         for batch in batches:
             sizes = []
             for path, folder, file in zip(batch["path"], batch["folder"], batch["file"]):
                 source, source_path = opened(path)
                 sink, base = opened(goal)
-                folder_path = f"{base}/{partition_folder(folder)}"
+                folder_path = f"{base}/{folder_for(folder)}"
                 sink.create_dir(folder_path, recursive=True)
                 beside = f"{folder_path}/.{file}.{uuid.uuid4().hex}"
                 fs.copy_files(source_path, beside, source_filesystem=source, destination_filesystem=sink)
@@ -114,7 +130,57 @@ def copy_files(files: DataFrame, target: str, count: int | None = None) -> DataF
                 sizes.append(sink.get_file_info(f"{folder_path}/{file}").size)
             yield batch[["table", "file"]].assign(bytes=sizes)
 
-    return spread.mapInPandas(copy, "table string, file string, bytes long")
+    return _spread(files, count).mapInPandas(copy, "table string, file string, bytes long")
+
+
+def name_files(files: DataFrame, target: str, count: int | None = None, work: str | None = None) -> int:
+    """Turn a written snapshot's layout into ``<table>/<table>-<md5 of the first key>.gz``; returns the number of files.
+
+    For readers that expect those names. Files are renamed within their store, about twenty per task, each task
+    reading no more than the first document of a file. A repeated attempt passes over what is already renamed.
+    """
+    goal = storage.qualified(files.sparkSession, target)
+    opened, _, plain_folder = _file_tools()
+
+    def rename(batches):
+        import hashlib
+        import json
+
+        from pyarrow import fs
+
+        sink, base = opened(goal)
+        for batch in batches:
+            for folder, file in zip(batch["folder"], batch["file"]):
+                source = f"{base}/{folder}/{file}"
+                if not folder.startswith("table=") or sink.get_file_info(source).type == fs.FileType.NotFound:
+                    continue
+                head = b""
+                with sink.open_input_stream(source, compression="gzip") as stream:
+                    while b"\n" not in head:
+                        piece = stream.read(1 << 16)
+                        if not piece:
+                            break
+                        head += piece
+                key = json.loads(head.split(b"\n", 1)[0])["~id"]
+                plain = plain_folder(folder)
+                sink.create_dir(f"{base}/{plain}", recursive=True)
+                sink.move(source, f"{base}/{plain}/{plain}-{hashlib.md5(key.encode('utf-8')).hexdigest()}.gz")
+            yield batch[["table", "folder"]]
+
+    def remove(batches):
+        from pyarrow import fs
+
+        sink, base = opened(goal)
+        for batch in batches:
+            for folder in batch["folder"]:
+                if sink.get_file_info(f"{base}/{folder}").type == fs.FileType.Directory:
+                    sink.delete_dir(f"{base}/{folder}")
+            yield batch[["folder"]]
+
+    renamed = stage(_spread(files, count).mapInPandas(rename, "table string, folder string"), "renamed", work)
+    emptied = renamed.where(F.col("folder").startswith("table=")).select("folder").distinct()
+    emptied.mapInPandas(remove, "folder string").count()
+    return renamed.count()
 
 
 def publish_snapshot(spark: SparkSession, root: str, name: str, attempts: int = 10, first_delay: float = 0.25) -> None:

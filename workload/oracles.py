@@ -140,6 +140,8 @@ ORACLES = {
     ),
     "generate_snapshot": _GENERATED,
     "generate_snapshot_by_shuffle": _GENERATED,
+    "generate_snapshot_all_live": _GENERATED,
+    "generate_snapshot_plain_names": _GENERATED,
     "dedup_batch": _sql(f"SELECT tbl, k, uid, version, content FROM {_NEWEST}"),
     "latest_changes": _sql(f"SELECT {_ALL} FROM latest"),
     "latest_changes_bulk": _sql("SELECT tbl, k, uid FROM latest", BULK_SQL_VIEWS),

@@ -285,21 +285,26 @@ def merged_repeats(spark, sf):
 
 
 def generated(spark, sf, **options):
-    root = scratch_path(spark, "root")
-    log = scratch_path(spark, "log")
-    write_snapshot(views.customer_documents(spark, sf), f"{root}/{PRIOR_NAME}")
-    publish_snapshot(spark, root, PRIOR_NAME)
-    events = metadata.with_metadata(views.event_documents(spark, sf))
-    append_change_log(to_change_rows(events, received=F.timestamp_millis(F.col("lastUpdateTs"))), log)
-    generate_snapshot(spark, root, log, views.live(spark, sf), NEW_TIME, **options)
-    found = scan_snapshot_keys(spark, root, latest_snapshot(spark, root), position=False)
+    root, log = views.customer_root(spark, sf), views.document_log(spark, sf)
+    out = scratch_path(spark, "root")
+    generate_snapshot(spark, root, log, views.live(spark, sf), NEW_TIME, output_root=out, **options)
+    found = scan_snapshot_keys(spark, out, latest_snapshot(spark, out), position=False)
     return short(found.select("table", "key", F.get_json_object("value", "$.body").alias("body")))
 
 
 def generated_by_shuffle(spark, sf):
+    """The way taken when the changed keys are too many to broadcast."""
     return generated(spark, sf, broadcast_key_bytes=0)
 
 
+def generated_all(spark, sf):
+    return generated(spark, sf, copy_unmodified=False, regroup=False)
+
+
+def generated_plain(spark, sf):
+    return generated(spark, sf, plain_names=True, prior_unique=True)
+
+
 # aggregations and order
 
 def dedup_batch(spark, sf):
@@ -524,6 +529,8 @@ QUERIES = {
     "merge_repeated_prior": merged_repeats,
     "generate_snapshot": generated,
     "generate_snapshot_by_shuffle": generated_by_shuffle,
+    "generate_snapshot_all_live": generated_all,
+    "generate_snapshot_plain_names": generated_plain,
     "dedup_batch": dedup_batch,
     "latest_changes": latest,
     "latest_changes_bulk": latest_bulk,

@@ -8,9 +8,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import window_days
+from tidemark.functions.metadata import with_metadata
 from tidemark.session import scratch_path
-from tidemark.sinks.change_log import append_change_log
-from tidemark.sinks.snapshot import publish_snapshot
+from tidemark.sinks.change_log import append_change_log, to_change_rows
+from tidemark.sinks.snapshot import publish_snapshot, write_snapshot
 
 PRIOR_TIME = datetime(2024, 1, 10, 6)
 NEW_TIME = datetime(2024, 1, 20)
@@ -186,8 +187,24 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, _landing)
 
 
-def publish_prior(spark: SparkSession, root: str) -> None:
-    publish_snapshot(spark, root, PRIOR_NAME)
+def _customer_root(spark, sf_dir, path):
+    write_snapshot(customer_documents(spark, sf_dir), f"{path}/{PRIOR_NAME}")
+    publish_snapshot(spark, path, PRIOR_NAME)
+
+
+def customer_root(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a published snapshot of the customer documents."""
+    return _once(spark, sf_dir, _customer_root)
+
+
+def _document_log(spark, sf_dir, path):
+    events = with_metadata(event_documents(spark, sf_dir))
+    append_change_log(to_change_rows(events, received=F.timestamp_millis(F.col("lastUpdateTs"))), path)
+
+
+def document_log(spark: SparkSession, sf_dir: str) -> str:
+    """The event documents as a change log."""
+    return _once(spark, sf_dir, _document_log)
 
 
 # The same views for the reference SQL.
