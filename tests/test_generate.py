@@ -210,3 +210,48 @@ def test_plain_names(spark, world):
     want = expected()
     want["test:table:01"] = sorted(want["test:table:01"] + [document("test:table:01", "late", 1, "on the excluded day")])
     assert read_back(root, "2018-01-09-00-00-01") == want
+
+
+def test_only_the_window_is_listed(spark, tmp_path):
+    from tidemark.sources.change_log import read_change_log
+
+    write_log(spark, [change("t", "a", 1, "20180107"), change("t", "b", 1, "20180108")], tmp_path / "log")
+    window = read_change_log(spark, str(tmp_path / "log"), ["20180108", "20180109"])
+    assert [(r["key"], r["pollDate"], r["table"]) for r in window.collect()] == [("b", "20180108", "t")]
+    assert all("pollDate=20180108" in f for f in window.inputFiles())
+    assert read_change_log(spark, str(tmp_path / "log"), ["20190101"]).count() == 0
+    assert read_change_log(spark, str(tmp_path / "none"), ["20190101"]).count() == 0
+
+
+def test_no_changes_at_all(spark, tmp_path):
+    root = tmp_path / "root"
+    write_file(root, PRIOR, "t", "a.json", [document("t", "a")])
+    point_at(root, PRIOR)
+    report = generate_snapshot(spark, str(root), str(tmp_path / "none"), live_frame(spark, ["t"]), datetime(2018, 1, 9))
+    assert (report.updated, report.copied_files) == (0, 1)
+    assert read_back(root, NEXT) == {"t": [document("t", "a")]}
+    generate_snapshot(spark, str(root), str(tmp_path / "none"), live_frame(spark, ["t"]), datetime(2018, 1, 10), copy_unmodified=False)
+    assert read_back(root, "2018-01-10-00-00-00") == {"t": [document("t", "a")]}
+
+
+@pytest.mark.parametrize("prior_unique", [False, True])
+def test_tables_with_many_changes_are_shuffled_and_the_others_not(spark, tmp_path, prior_unique):
+    root, log = tmp_path / "root", tmp_path / "log"
+    tables = {"few": 1, "some": 3, "many": 40}
+    for table in tables:
+        write_file(root, PRIOR, table, "a.json", [document(table, f"k{i:02}") for i in range(50)])
+        if not prior_unique:
+            write_file(root, PRIOR, table, "b.json", [document(table, f"k{i:02}", text="again") for i in range(45, 50)])
+    point_at(root, PRIOR)
+    rows = [change(t, f"k{i:02}", 2, "20180107", "new") for t, n in tables.items() for i in range(n)]
+    write_log(spark, rows, log)
+    report = generate_snapshot(
+        spark, str(root), str(log), live_frame(spark, list(tables)), datetime(2018, 1, 9),
+        broadcast_key_bytes=2000, prior_unique=prior_unique,
+    )
+    assert report.strategy == "mixed" and report.updated == 44
+    want = {
+        t: sorted([document(t, f"k{i:02}", 2, "new") for i in range(n)] + [document(t, f"k{i:02}") for i in range(n, 50)])
+        for t, n in tables.items()
+    }
+    assert read_back(root, NEXT) == want

@@ -59,5 +59,15 @@ class TableSet:
             return df.where(~F.col("table").isin(*self.names)) if self.names else df
         return df.join(self._other_side(), "table", "left_anti")
 
+    def none(self) -> "TableSet":
+        """The empty set."""
+        return TableSet(self.frame.where(F.lit(False)), ())
+
+    def minus(self, other: "TableSet") -> "TableSet":
+        if self.names is not None and other.names is not None:
+            names = tuple(n for n in self.names if n not in set(other.names))
+            return TableSet(other.drop(self.frame), names)
+        return TableSet(other.drop(self.frame), None, self.broadcast)
+
     def is_empty(self) -> bool:
         return self.names is not None and not self.names

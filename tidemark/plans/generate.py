@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.dates import check_snapshot_order, window_days
 from tidemark.functions.naming import format_snapshot_name, parse_snapshot_name
 from tidemark.functions.payload import decode_payload
-from tidemark.operators.combine import files_for, snapshot_file_plan, unchanged_documents
+from tidemark.operators.combine import files_for, unchanged_documents
 from tidemark.operators.newest import (
     PAYLOAD_KEY,
     change_payloads,
@@ -25,8 +26,8 @@ from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, LZ4
 from tidemark.session import scratch_path, stage
 from tidemark.sinks.snapshot import copy_files, name_files, publish_snapshot, write_snapshot
 from tidemark.sources import storage
-from tidemark.sources.change_log import read_change_log, window_changes
-from tidemark.sources.snapshot import latest_snapshot, scan_snapshot_keys, scan_snapshot_lines, snapshot_files
+from tidemark.sources.change_log import read_change_log
+from tidemark.sources.snapshot import Snapshot, latest_snapshot, snapshot_files
 
 # A set of document keys up to this size (with row overhead) is broadcast against the prior snapshot.
 BROADCAST_KEY_BYTES = 256 * 1024 * 1024
@@ -37,7 +38,11 @@ SMALL_FILE_BYTES = 8 * 1024 * 1024
 
 @dataclass
 class SnapshotReport:
-    """What a compaction did. ``dropped`` lists tables with changes that are no longer live, sorted."""
+    """What a compaction did.
+
+    ``strategy`` is ``broadcast``, ``shuffle`` or ``mixed``; ``dropped`` lists, sorted, tables with changes that are
+    no longer live.
+    """
 
     name: str
     days: list[str]
@@ -78,9 +83,10 @@ def generate_snapshot(
     The pointer moves only after every file is written, so a failed run leaves readers on the old snapshot and
     can simply be run again.
 
-    The changed keys are picked on narrow columns, written to the shared scratch area and measured. If they fit
-    in a broadcast the prior snapshot, by far the larger side, streams past them without a shuffle and only the
-    picked payloads are sorted; otherwise both sides meet in a shuffle by ``(table, key)``.
+    The changed keys are picked on narrow columns, written to the shared scratch area and measured. For as many
+    tables as fit in a broadcast together the prior snapshot, by far the larger side, streams past the keys without
+    a shuffle and only picked payloads are moved; in the other tables, those with the most changes, both sides meet
+    in a shuffle by ``(table, key)``.
     ``regroup`` sorts the carried-over documents into full-sized files too; by default that is done when the
     prior files have become small. ``prior_unique`` vouches that no merged table holds a document twice, which
     saves the pass that looks for such. ``plain_names`` renames the finished files to
@@ -95,13 +101,13 @@ def generate_snapshot(
     days = window_days(prior_time, when, lookback_days)
 
     # one listing of the log serves the whole run: batches that land meanwhile wait for the next window
-    window = window_changes(read_change_log(spark, change_log), days)
+    window = read_change_log(spark, change_log, days)
     status = stage(classify_tables(live, window, copy_unmodified), "status")
     work = scratch_path(spark, "compaction")
     try:
         report = _write(
-            spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique,
-            broadcast_key_bytes, plain_names,
+            Snapshot(spark, root, prior_name), target, window, status, work, documents_per_file, strict, regroup,
+            prior_unique, broadcast_key_bytes, plain_names,
         )
         if plain_names:
             name_files(snapshot_files(spark, output_root, name), target, work=work)
@@ -113,98 +119,134 @@ def generate_snapshot(
 
 
 def _write(
-    spark, root, prior_name, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit,
-    plain_names,
+    prior: Snapshot, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit, plain_names
 ) -> dict:
     sets = TableSet.by_action(status)
     merged, copied = sets["merge"], sets["copy"]
 
-    # changed side
+    # which change of each document counts: decided once, on narrow columns
     ids = stage(latest_change_ids(window, live=merged), "changed", work)
-    counts = ids.agg(
-        F.count(F.lit(1)).alias("changed"),
-        F.count_if(F.col("deleted")).alias("deleted"),
-        F.count_if(F.col("encoding") == LZ4).alias("lz4"),
-        key_bytes(DOCUMENT_KEY).alias("blocked_bytes"),
-        key_bytes(PAYLOAD_KEY).alias("picked_bytes"),
-    ).first()
-    small = counts["picked_bytes"] <= limit
-    repeated = prior_lines = None
-    if small and not prior_unique:
+    per_table = stage(
+        ids.groupBy("table").agg(
+            F.count(F.lit(1)).alias("changed"),
+            F.count_if(F.col("deleted")).alias("deleted"),
+            F.count_if(F.col("encoding") == LZ4).alias("lz4"),
+            key_bytes(PAYLOAD_KEY).alias("bytes"),
+        ),
+        "per-table",
+        work,
+    )
+    totals = per_table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("changed", "deleted", "lz4", "bytes")]).first()
+
+    # tables whose changed keys fit in a broadcast together, and the others
+    if totals["bytes"] <= limit:
+        narrow, wide = merged, merged.none()
+    else:
+        wide = TableSet.of(per_table.where(F.col("bytes") >= _cutoff(per_table, limit)))
+        narrow = merged.minus(wide)
+    narrow_ids = narrow.keep(ids)
+
+    repeated = narrow_lines = None
+    if not (prior_unique or narrow.is_empty()):
         # the same pass counts the lines, for sizing only
         seen = Observation()
-        narrow = scan_snapshot_keys(spark, root, prior_name, merged, position=False, strict=strict)
-        counted = narrow.select(*DOCUMENT_KEY).observe(seen, F.count(F.lit(1)).alias("lines"))
+        keys = prior.documents(narrow, position=False, strict=strict).select(*DOCUMENT_KEY)
+        counted = keys.observe(seen, F.count(F.lit(1)).alias("lines"))
         repeated = stage(repeated_documents(counted), "repeated", work)
-        prior_lines = seen.get["lines"]
+        narrow_lines = seen.get["lines"]
         repeated_bytes = repeated.agg(key_bytes(DOCUMENT_KEY)).first()[0]
-        small = counts["blocked_bytes"] + repeated_bytes <= limit
+        if repeated_bytes + narrow_ids.agg(key_bytes(DOCUMENT_KEY)).first()[0] > limit:
+            narrow, wide = merged.none(), merged
+            narrow_ids = narrow.keep(ids)
         if not repeated_bytes:
             repeated = None
 
-    newest = change_payloads(merged.keep(window), drop_tombstones(ids), small_ids=small)
-    text = decode_payload(F.col("encoding"), F.col("content"), lz4=counts["lz4"] > 0)
-    updates = newest.select("table", "key", text.alias("value"))
-    plan = stage(snapshot_file_plan(drop_tombstones(ids), documents_per_file), "update-plan", work)
-    write_snapshot(updates, target, documents_per_file, plan, mode="overwrite")
-
-    # carried side
-    sizes = stage(_table_sizes(spark, root, prior_name, merged), "sizes", work)
-    files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
-    if regroup is None:
-        regroup = bool(files) and size < files * SMALL_FILE_BYTES
-    regroup = regroup or not small
-    if files:
+    # changed documents
+    halves = []
+    if not narrow.is_empty():
+        halves.append(change_payloads(narrow.keep(window), drop_tombstones(narrow_ids), small_ids=True))
+    if not wide.is_empty():
+        halves.append(change_payloads(wide.keep(window), drop_tombstones(wide.keep(ids))))
+    text = decode_payload(F.col("encoding"), F.col("content"), lz4=totals["lz4"] > 0)
+    live_counts = per_table.select("table", (F.col("changed") - F.col("deleted")).alias("documents"))
+    plan = live_counts.select("table", files_for(F.col("documents"), documents_per_file).alias("files"))
+    newest = reduce(DataFrame.unionByName, halves) if halves else change_payloads(narrow.keep(window), narrow_ids)
+    write_snapshot(newest.select("table", "key", text.alias("value")), target, documents_per_file, plan)
+
+    # documents carried over
+    regrouped = False
+    if not narrow.is_empty():
+        sizes = stage(_table_sizes(prior, narrow), "narrow-sizes", work)
         # a line is checked on its first reading only
-        unchecked = strict and prior_lines is None
-        carried = _carried(spark, root, prior_name, merged, ids, repeated, small, prior_unique, unchecked)
-        if regroup:
-            if prior_lines is None:
-                prior_lines = scan_snapshot_lines(spark, root, prior_name, merged, position=False).count()
-            # share of the lines by bytes: only the number of files depends on it
-            estimate = F.ceil(F.col("bytes") * F.lit(prior_lines / max(size, 1)))
-            plan = sizes.select("table", files_for(F.greatest(estimate, F.lit(1)), documents_per_file).alias("files"))
-            write_snapshot(carried, target, documents_per_file, plan, mode="append")
-        else:
-            write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
+        carried = _carried_past_broadcast(prior, narrow, narrow_ids, repeated, strict and narrow_lines is None)
+        regrouped = _write_carried(carried, prior, narrow, sizes, narrow_lines, regroup, target, documents_per_file)
+    if not wide.is_empty():
+        sizes = stage(_table_sizes(prior, wide), "wide-sizes", work)
+        copies = prior.documents(wide, position=not prior_unique, strict=strict)
+        single = copies if prior_unique else first_copies(copies)
+        carried = unchanged_documents(single, wide.keep(ids))
+        regrouped |= _write_carried(carried, prior, wide, sizes, None, True, target, documents_per_file)
 
     # unmodified tables
     copied_files = 0
     if not copied.is_empty():
-        listed = snapshot_files(spark, root, prior_name, copied)
-        copied_files = copy_files(listed, target, plain=plain_names).count()
+        copied_files = copy_files(prior.files(copied), target, plain=plain_names).count()
 
     return {
-        "updated": counts["changed"] - counts["deleted"],
-        "deleted": counts["deleted"],
+        "updated": totals["changed"] - totals["deleted"],
+        "deleted": totals["deleted"],
         "copied_files": copied_files,
-        "strategy": "broadcast" if small else "shuffle",
-        "regrouped": regroup,
+        "strategy": "broadcast" if wide.is_empty() else "shuffle" if narrow.is_empty() else "mixed",
+        "regrouped": regrouped,
     }
 
 
-def _table_sizes(spark, root, prior_name, merged) -> DataFrame:
-    """``table, files, bytes`` of the prior snapshot, from the listing."""
-    listed = snapshot_files(spark, root, prior_name, merged)
-    return listed.groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+def _cutoff(per_table: DataFrame, limit: int) -> int:
+    """Power of two such that the tables below it fit in the limit together. Looks at one total per power."""
+    power = F.floor(F.log2(F.col("bytes"))).alias("power")
+    total, cutoff = 0, 0
+    for row in per_table.groupBy(power).agg(F.sum("bytes").alias("bytes")).orderBy("power").collect():
+        total += row["bytes"]
+        if total > limit:
+            break
+        cutoff = 2 ** (row["power"] + 1)
+    return cutoff
 
 
-def _carried(spark, root, prior_name, merged, ids, repeated, small, prior_unique, strict) -> DataFrame:
-    """Prior documents of the merged tables that have no change, each once."""
+def _table_sizes(prior: Snapshot, tables: TableSet) -> DataFrame:
+    """``table, files, bytes`` of the prior snapshot, from the listing."""
+    return prior.files(tables).groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
-    def scan(position: bool) -> DataFrame:
-        return scan_snapshot_keys(spark, root, prior_name, merged, position=position, strict=strict)
 
+def _carried_past_broadcast(prior: Snapshot, tables: TableSet, ids: DataFrame, repeated: DataFrame | None, strict: bool):
+    """Prior documents without any change, each once, streamed past the measured keys."""
     columns = [*DOCUMENT_KEY, "value"]
-    if not small:
-        copies = scan(False) if prior_unique else first_copies(scan(True))
-        return unchanged_documents(copies, ids).select(*columns)
+    copies = prior.documents(tables, position=False, strict=strict)
     if repeated is None:
-        return unchanged_documents(scan(False), ids, small=True).select(*columns)
+        return unchanged_documents(copies, ids, small=True).select(*columns)
     blocked = ids.select(*DOCUMENT_KEY).unionByName(repeated)
-    single = unchanged_documents(scan(False), blocked, small=True).select(*columns)
+    single = unchanged_documents(copies, blocked, small=True).select(*columns)
     # only documents that really occur more than once go through a shuffle
-    several = scan(True).join(
+    several = prior.documents(tables, strict=strict).join(
         F.broadcast(unchanged_documents(repeated, ids, small=True)), DOCUMENT_KEY, "left_semi"
     )
     return single.unionByName(first_copies(several).select(*columns))
+
+
+def _write_carried(carried, prior: Snapshot, tables: TableSet, sizes, lines, regroup, target, documents_per_file) -> bool:
+    """Append the carried documents; says whether they were regrouped into files of the target size."""
+    files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
+    if not files:
+        return False
+    if regroup is None:
+        regroup = size < files * SMALL_FILE_BYTES
+    if not regroup:
+        write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
+        return False
+    if lines is None:
+        lines = prior.lines(tables, position=False).count()
+    # share of the lines by bytes: only the number of files depends on it
+    estimate = F.greatest(F.ceil(F.col("bytes") * F.lit(lines / max(size, 1))), F.lit(1))
+    plan = sizes.select("table", files_for(estimate, documents_per_file).alias("files"))
+    write_snapshot(carried, target, documents_per_file, plan, mode="append")
+    return True

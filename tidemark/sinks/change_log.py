@@ -54,9 +54,8 @@ def without_logged(rows: DataFrame, path: str) -> DataFrame:
     spark = rows.sparkSession
     if not storage.exists(spark, path):
         return rows
+    # a batch has one day, a backfill a few; past a year of them the whole log is read
     days = [row[0] for row in rows.select("pollDate").distinct().limit(367).collect()]
-    logged = read_change_log(spark, path)
-    if len(days) < 367:
-        logged = logged.where(F.col("pollDate").isin(days))
+    logged = read_change_log(spark, path, days if len(days) < 367 else None)
     on = ["pollDate", "table", "updateId"]
     return rows.join(logged.select(*on), on, "left_anti")

@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.schema import CHANGE_SCHEMA
-
-
-def read_change_log(spark: SparkSession, path: str) -> DataFrame:
-    """Scan with the fixed schema; nothing is inferred from the files or the directory names."""
-    return spark.read.schema(CHANGE_SCHEMA).parquet(path)
+from tidemark.sources import storage
+
+
+def read_change_log(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """Scan with the fixed schema; nothing is inferred from the files or the directory names.
+
+    With ``days`` only those days' directories are listed, however long the log's history is.
+    """
+    reader = spark.read.schema(CHANGE_SCHEMA)
+    if days is None:
+        return reader.parquet(path)
+    base = path.rstrip("/")
+    folders = [f"{base}/pollDate={day}" for day in days if storage.exists(spark, f"{base}/pollDate={day}")]
+    if not folders:
+        return spark.createDataFrame([], CHANGE_SCHEMA)
+    return window_changes(reader.option("basePath", base).parquet(*folders), days)
 
 
 def window_changes(changes: DataFrame, days: list[str]) -> DataFrame:

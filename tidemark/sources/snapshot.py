@@ -5,6 +5,8 @@ The table directory is the encoded table name, plain or as ``table=<name>``; bot
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from tidemark.functions.metadata import METADATA_COLUMNS, require_complete, with_metadata
@@ -29,65 +31,75 @@ def _path_column():
     return F.col("_metadata.file_path")
 
 
-def _snapshot_path(spark: SparkSession, root: str, name: str) -> str:
-    return storage.qualified(spark, f"{root.rstrip('/')}/{name}")
+class Snapshot:
+    """One snapshot. Its files are listed once per kind of use, whatever number of frames are derived."""
 
+    def __init__(self, spark: SparkSession, root: str, name: str):
+        self.spark = spark
+        self.name = name
+        self.path = storage.qualified(spark, f"{root.rstrip('/')}/{name}")
 
-def snapshot_files(spark: SparkSession, root: str, name: str, tables: TableSet | None = None) -> DataFrame:
-    """``table, file, path, bytes`` of every file of a snapshot. A listing only: no file is opened."""
-    path = _snapshot_path(spark, root, name)
-    if not storage.exists(spark, path):
-        return spark.createDataFrame([], "table string, file string, path string, bytes long")
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    files = listing.where(in_table_folder(_path_column(), name)).select(
-        table_of_path(_path_column()).alias("table"),
-        file_name_of(_path_column()).alias("file"),
-        _path_column().alias("path"),
-        F.col("length").alias("bytes"),
-    )
-    return tables.keep(files) if tables else files
+    @cached_property
+    def exists(self) -> bool:
+        return storage.exists(self.spark, self.path)
 
+    @cached_property
+    def _text(self) -> DataFrame:
+        return self.spark.read.option("recursiveFileLookup", "true").text(self.path)
 
-def scan_snapshot_lines(
-    spark: SparkSession, root: str, name: str, tables: TableSet | None = None, position: bool = True
-) -> DataFrame:
-    """Non-empty lines as ``table, file, value`` and, on demand, their position ``block, seq``.
+    @cached_property
+    def _listing(self) -> DataFrame:
+        return self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.path)
 
-    ``(file, block, seq)`` orders the lines of a table's files like the file name and line number do, and comes
-    from the scan alone: no shuffle. ``seq`` says nothing across files. A missing snapshot reads as empty.
-    """
-    path = _snapshot_path(spark, root, name)
-    columns = ["table", "file", "value"] + (["block", "seq"] if position else [])
-    if not storage.exists(spark, path):
-        return spark.createDataFrame([], "table string, file string, value string, block long, seq long").select(columns)
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .where((F.col("value") != "") & in_table_folder(_path_column(), name))
-        .select(
+    def files(self, tables: TableSet | None = None) -> DataFrame:
+        """``table, file, path, bytes`` of every file. A listing only: no file is opened."""
+        if not self.exists:
+            return self.spark.createDataFrame([], "table string, file string, path string, bytes long")
+        files = self._listing.where(in_table_folder(_path_column(), self.name)).select(
+            table_of_path(_path_column()).alias("table"),
+            file_name_of(_path_column()).alias("file"),
+            _path_column().alias("path"),
+            F.col("length").alias("bytes"),
+        )
+        return tables.keep(files) if tables else files
+
+    def lines(self, tables: TableSet | None = None, position: bool = True) -> DataFrame:
+        """Non-empty lines as ``table, file, value`` and, on demand, their position ``block, seq``.
+
+        ``(file, block, seq)`` orders the lines of a table's files like the file name and line number do, and
+        comes from the scan alone: no shuffle. ``seq`` says nothing across files. A missing snapshot reads as
+        empty. A literal table set is applied to the file list, so other tables' files are not opened.
+        """
+        columns = ["table", "file", "value"] + (["block", "seq"] if position else [])
+        if not self.exists:
+            empty = self.spark.createDataFrame([], "table string, file string, value string, block long, seq long")
+            return empty.select(columns)
+        lines = self._text.where((F.col("value") != "") & in_table_folder(_path_column(), self.name)).select(
             table_of_path(_path_column()).alias("table"),
             file_name_of(_path_column()).alias("file"),
             "value",
             F.col("_metadata.file_block_start").alias("block"),
         )
-    )
-    if tables:
-        lines = tables.keep(lines)
-    if position:
-        # after the filters: nothing can be pushed below a row id
-        lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    return lines.select(columns)
+        if tables:
+            lines = tables.keep(lines)
+        if position:
+            # after the filters: nothing can be pushed below a row id
+            lines = lines.withColumn("seq", F.monotonically_increasing_id())
+        return lines.select(columns)
 
+    def documents(self, tables: TableSet | None = None, position: bool = True, strict: bool = True) -> DataFrame:
+        """``table, key, file, value`` and position of every document."""
+        return with_keys(self.lines(tables, position), strict)
 
-def with_keys(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """Add the document key. The table stays the directory's, whatever the document says.
 
-    ``strict`` fails on a line that lacks any of the five attributes, otherwise only the key is required.
-    """
-    parsed = require_complete(
-        with_metadata(lines.withColumnRenamed("table", "_directory")), attributes=METADATA_COLUMNS if strict else ["key"]
-    )
-    return parsed.select(F.col("_directory").alias("table"), "key", *[c for c in lines.columns if c != "table"])
+def snapshot_files(spark: SparkSession, root: str, name: str, tables: TableSet | None = None) -> DataFrame:
+    return Snapshot(spark, root, name).files(tables)
+
+
+def scan_snapshot_lines(
+    spark: SparkSession, root: str, name: str, tables: TableSet | None = None, position: bool = True
+) -> DataFrame:
+    return Snapshot(spark, root, name).lines(tables, position)
 
 
 def scan_snapshot_keys(
@@ -98,8 +110,18 @@ def scan_snapshot_keys(
     position: bool = True,
     strict: bool = True,
 ) -> DataFrame:
-    """``table, key, file, value`` and position of every document."""
-    return with_keys(scan_snapshot_lines(spark, root, name, tables, position), strict)
+    return Snapshot(spark, root, name).documents(tables, position, strict)
+
+
+def with_keys(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """Add the document key. The table stays the directory's, whatever the document says.
+
+    ``strict`` fails on a line that lacks any of the five attributes, otherwise only the key is required.
+    """
+    parsed = require_complete(
+        with_metadata(lines.withColumnRenamed("table", "_directory")), attributes=METADATA_COLUMNS if strict else ["key"]
+    )
+    return parsed.select(F.col("_directory").alias("table"), "key", *[c for c in lines.columns if c != "table"])
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
