@@ -68,10 +68,9 @@ ORACLES = {
     "scan_changes": _sql(f"SELECT {_ALL} FROM changes"),
     "live_tables_text": _sql("SELECT tbl FROM live"),
     "live_tables_catalog": "SELECT 'c' || c_custkey AS tbl FROM customer WHERE c_custkey % 5 IN (0, 4)",
-    "latest_snapshot": f"""SELECT 't' || (c_custkey % 8) AS tbl, count(*) AS documents, '2024-01-20-00-00-00' AS name
-        FROM customer WHERE c_custkey % 7 <> 3 AND c_custkey % 2 = 1 GROUP BY 1""",
-    "publish_snapshot": f"""SELECT {_CUSTOMER_DOCUMENTS}, '{PRIOR_NAME}' AS name
-        FROM customer WHERE c_custkey % 7 <> 3 AND c_custkey % 2 = 0""",
+    "latest_snapshot": """SELECT 'nation:' || s_nationkey AS tbl, count(*) AS documents, '2024-01-20-00-00-00' AS name
+        FROM supplier GROUP BY 1""",
+    "publish_snapshot": f"SELECT {_CUSTOMER_DOCUMENTS}, '{PRIOR_NAME}' AS name FROM customer",
     "snapshot_files": f"SELECT {_SHARD} AS tbl, CAST(1 AS BIGINT) AS files, true AS filled FROM customer GROUP BY 1",
     "snapshot_file_count": "SELECT count(DISTINCT c_custkey // 500) AS files FROM customer",
     "scan_snapshot_lines": _SHARD_LINES,
@@ -80,7 +79,7 @@ ORACLES = {
         "SELECT tbl, k, version, last_ts FROM changes WHERE version >= 10 AND NOT deleted AND tbl <> 't2'"
     ),
     "append_change_log": _sql("SELECT poll_date, tbl, k, uid, content FROM changes"),
-    "write_snapshot": f"SELECT {_CUSTOMER_DOCUMENTS}, c_name AS body FROM customer WHERE c_custkey % 7 <> 3",
+    "write_snapshot": f"SELECT {_CUSTOMER_DOCUMENTS}, c_name AS body FROM customer",
     "copy_unmodified": _sql(
         """SELECT tbl, k, value AS body FROM prior
            WHERE tbl IN (SELECT tbl FROM live) AND tbl NOT IN (SELECT tbl FROM win)"""
@@ -117,7 +116,7 @@ ORACLES = {
     "split_unchanged": _sql(f"SELECT p.tbl, p.k, p.value FROM prior p WHERE {_NOT_CHANGED}"),
     "unchanged_documents": _sql(f"SELECT p.tbl, p.k, p.value FROM prior p WHERE {_NOT_CHANGED}"),
     "changes_of_live_tables": _sql("SELECT tbl, k, uid FROM win WHERE tbl IN (SELECT tbl FROM live)"),
-    "fetch_by_location": f"SELECT tbl, line, value FROM ({_SHARD_LINES}) WHERE line % 3 = 1",
+    "fetch_by_location": _SHARD_LINES,
     "merge_counts": _sql(
         f"""SELECT (SELECT count(*) FROM latest) AS changed,
               (SELECT count(*) FROM prior p WHERE {_NOT_CHANGED}) AS carried"""
@@ -159,7 +158,7 @@ ORACLES = {
         """SELECT tbl FROM live UNION ALL SELECT tbl FROM live
            UNION ALL SELECT DISTINCT 'o' || (o_orderkey % 18) FROM orders WHERE o_orderkey % 18 <> 3"""
     ),
-    "encode_table_name": """SELECT page_id, replace(CASE WHEN page_id % 9 > 0 THEN url END, ':', '~') AS encoded FROM pages""",
+    "encode_table_name": "SELECT page_id, replace(url, ':', '~') AS encoded FROM pages",
     "decode_table_name": "SELECT page_id, replace(replace(url, '/', '~'), '~', ':') AS decoded FROM pages",
     "extract_intrinsics": """SELECT event_id, 't' || (user_id % 6) AS tbl, CAST(user_id AS VARCHAR) AS k,
         CAST(day(ts) AS BIGINT) AS version, epoch_us(ts) // 1000 AS last_ts, event_id % 10 = 0 AS deleted FROM events""",
@@ -175,8 +174,7 @@ ORACLES = {
         epoch_us(date_trunc('second', ts)) // 1000000 AS seconds FROM events""",
     "file_suffix": "SELECT doc_id, md5(text) AS suffix FROM documents",
     "update_id": _sql(f"SELECT uid, {_uuid(_sized('tbl', 'k', 'version', 'last_ts'))} AS id FROM changes"),
-    "text_payload": """SELECT doc_id, CAST(CASE WHEN doc_id % 7 > 0 THEN strlen(text) END AS BIGINT) AS bytes,
-        CASE WHEN doc_id % 7 > 0 THEN md5(text) END AS text_md5 FROM documents""",
+    "text_payload": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, md5(text) AS text_md5 FROM documents",
     "decode_payloads": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     "parse_envelopes": "SELECT 'e' || event_id AS event_key, props AS body, 'inner' AS about FROM events",
     "stream_ingest": _sql(

@@ -44,7 +44,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").where("c_custkey % 7 <> 3").selectExpr(
+    return table(spark, sf_dir, "customer").selectExpr(
         "concat('t', c_custkey % 8) AS `table`", "string(c_custkey) AS key", "c_name AS value"
     )
 
@@ -113,7 +113,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prior snapshot as whole JSON documents."""
-    return table(spark, sf_dir, "customer").where("c_custkey % 7 <> 3").selectExpr(
+    return table(spark, sf_dir, "customer").selectExpr(
         "concat('t', c_custkey % 8) AS `table`",
         "string(c_custkey) AS key",
         """to_json(named_struct(
@@ -126,6 +126,20 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "concat('nation:', s_nationkey) AS `table`",
+        "string(s_suppkey) AS key",
+        """to_json(named_struct(
+             '~deleted', false,
+             '~id', string(s_suppkey),
+             '~lastUpdateAt', '2024-01-15T00:00:00.000Z',
+             '~table', concat('nation:', s_nationkey),
+             '~version', 1,
+             'body', s_name)) AS value""",
+    )
+
+
 @lru_cache(maxsize=None)
 def _written(application: str, sf_dir: str, build, label: str) -> str:
     spark = SparkSession.getActiveSession()
@@ -216,7 +230,7 @@ changes AS (
   FROM events),
 prior AS (
   SELECT 't' || (c_custkey % 8) AS tbl, CAST(c_custkey AS VARCHAR) AS k, c_name AS value
-  FROM customer WHERE c_custkey % 7 <> 3),
+  FROM customer),
 live AS (SELECT DISTINCT 't' || (c_custkey % 9) AS tbl FROM customer WHERE c_custkey % 9 <> 5),
 win AS (SELECT * FROM changes WHERE poll_date >= '20240110' AND poll_date < '20240120'),
 ranked AS (
