@@ -255,3 +255,26 @@ def test_tables_with_many_changes_are_shuffled_and_the_others_not(spark, tmp_pat
         for t, n in tables.items()
     }
     assert read_back(root, NEXT) == want
+
+
+@pytest.mark.parametrize("literal_names", [1000, 1])
+def test_a_tilde_in_a_table_name(spark, tmp_path, monkeypatch, literal_names):
+    """Directories are found from names, so such a table is not taken for the one with a colon."""
+    from tidemark.operators.table_set import TableSet
+
+    real = TableSet.by_action
+    monkeypatch.setattr(TableSet, "by_action", staticmethod(lambda status: real(status, literal_names)))
+    root, log = tmp_path / "root", tmp_path / "log"
+    write_file(root, PRIOR, "a~b", "a.json", [document("a~b", "k1"), document("a~b", "k2")])
+    write_file(root, PRIOR, "c~d", "c.json", [document("c~d", "k1")])
+    write_file(root, PRIOR, "e:f", "e.json", [document("e:f", "k1")])
+    point_at(root, PRIOR)
+    write_log(spark, [change("a~b", "k1", 2, "20180107", "new"), change("e:f", "k2", 2, "20180107", "new")], log)
+    live = live_frame(spark, ["a~b", "c~d", "e:f"])
+    report = generate_snapshot(spark, str(root), str(log), live, datetime(2018, 1, 9))
+    assert report.copied_files == 1
+    assert read_back(root, NEXT) == {
+        "a:b": sorted([document("a~b", "k1", 2, "new"), document("a~b", "k2")]),
+        "c:d": [document("c~d", "k1")],
+        "e:f": sorted([document("e:f", "k1"), document("e:f", "k2", 2, "new")]),
+    }

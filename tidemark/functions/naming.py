@@ -37,12 +37,11 @@ def file_name_of(path: Column) -> Column:
     return _unescape(F.substring_index(path, "/", -1))
 
 
-def table_of_path(path: Column) -> Column:
-    """Table that a snapshot file URI belongs to, from its directory: ``<name>`` or ``table=<name>``."""
+def encoded_table_of_path(path: Column) -> Column:
+    """Encoded name of the table a snapshot file URI belongs to, from its directory: ``<name>`` or ``table=<name>``."""
     folder = folder_name_of(path)
     # the hive writer escapes once more inside partition directory names
-    plain = F.when(folder.startswith("table="), _unescape(F.substring(folder, 7, 1 << 30))).otherwise(folder)
-    return decode_table_name(plain)
+    return F.when(folder.startswith("table="), _unescape(F.substring(folder, 7, 1 << 30))).otherwise(folder)
 
 
 def folder_name_of(path: Column) -> Column:

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.naming import decode_table_name, encode_table, encode_table_name
+
 # Up to this many names go into the plan as a literal list, which also prunes partitions.
 LITERAL_NAMES = 1_000
 # Beyond that a name list of at most this size is broadcast; a larger one is joined as Spark sees fit.
@@ -59,6 +61,23 @@ class TableSet:
             return df.where(~F.col("table").isin(*self.names)) if self.names else df
         return df.join(self._other_side(), "table", "left_anti")
 
+    def keep_folders(self, df: DataFrame) -> DataFrame:
+        """Keep rows whose ``folder`` is the encoded name of one of the tables, and add the ``table``.
+
+        Going from names to folders keeps a name with ``~`` apart from its look-alike with ``:``.
+        """
+        folder = F.col("folder")
+        if self.names is None:
+            named = self.frame.select(encode_table_name(F.col("table")).alias("folder"), "table")
+            return df.join(F.broadcast(named) if self.broadcast else named, "folder")
+        if not self.names:
+            return df.where(F.lit(False)).withColumn("table", folder)
+        table = decode_table_name(folder)
+        for name in self.names:
+            if "~" in name:
+                table = F.when(folder == encode_table(name), F.lit(name)).otherwise(table)
+        return df.where(folder.isin(*[encode_table(name) for name in self.names])).withColumn("table", table)
+
     def none(self) -> "TableSet":
         """The empty set."""
         return TableSet(self.frame.where(F.lit(False)), ())

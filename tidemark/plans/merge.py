@@ -47,9 +47,11 @@ def merge_snapshot(
     picks the newest changes on narrow columns and fetches payloads of the picked ones afterwards.
     """
     window = window_changes(changes, days)
-    status = classify_tables(live, window, copy_unmodified)
-    sets = TableSet.by_action(status)
-    merged = sets["merge"]
+    if copy_unmodified:
+        sets = TableSet.by_action(classify_tables(live, window))
+        merged = sets["merge"]
+    else:
+        merged = TableSet.of(live)
     if late:
         ids = latest_change_ids(window, live=merged)
         newest = change_payloads(merged.keep(window), ids)

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from tidemark.functions.metadata import METADATA_COLUMNS, require_complete, with_metadata
-from tidemark.functions.naming import file_name_of, in_table_folder, table_of_path
+from tidemark.functions.naming import decode_table_name, encoded_table_of_path, file_name_of, in_table_folder
 from tidemark.operators.table_set import TableSet
 from tidemark.schema import POINTER_FILE
 from tidemark.sources import storage
@@ -31,6 +31,13 @@ def _path_column():
     return F.col("_metadata.file_path")
 
 
+def _named(df: DataFrame, tables: TableSet | None) -> DataFrame:
+    """Table names for ``folder``, of the given tables if any."""
+    if tables is None:
+        return df.withColumn("table", decode_table_name(F.col("folder")))
+    return tables.keep_folders(df)
+
+
 class Snapshot:
     """One snapshot. Its files are listed once per kind of use, whatever number of frames are derived."""
 
@@ -56,12 +63,12 @@ class Snapshot:
         if not self.exists:
             return self.spark.createDataFrame([], "table string, file string, path string, bytes long")
         files = self._listing.where(in_table_folder(_path_column(), self.name)).select(
-            table_of_path(_path_column()).alias("table"),
+            encoded_table_of_path(_path_column()).alias("folder"),
             file_name_of(_path_column()).alias("file"),
             _path_column().alias("path"),
             F.col("length").alias("bytes"),
         )
-        return tables.keep(files) if tables else files
+        return _named(files, tables).select("table", "file", "path", "bytes")
 
     def lines(self, tables: TableSet | None = None, position: bool = True) -> DataFrame:
         """Non-empty lines as ``table, file, value`` and, on demand, their position ``block, seq``.
@@ -75,13 +82,12 @@ class Snapshot:
             empty = self.spark.createDataFrame([], "table string, file string, value string, block long, seq long")
             return empty.select(columns)
         lines = self._text.where((F.col("value") != "") & in_table_folder(_path_column(), self.name)).select(
-            table_of_path(_path_column()).alias("table"),
+            encoded_table_of_path(_path_column()).alias("folder"),
             file_name_of(_path_column()).alias("file"),
             "value",
             F.col("_metadata.file_block_start").alias("block"),
         )
-        if tables:
-            lines = tables.keep(lines)
+        lines = _named(lines, tables)
         if position:
             # after the filters: nothing can be pushed below a row id
             lines = lines.withColumn("seq", F.monotonically_increasing_id())
