@@ -141,9 +141,11 @@ def number_lines(lines: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("table", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
     within = Window.partitionBy(*split)
-    numbered = (
-        lines.withColumn("_line", F.row_number().over(within.orderBy("seq")))
-        .join(shifts, split)
-        .withColumn("line", (F.col("_before") + F.col("_line")).cast("int"))
+    numbered = lines.withColumns(
+        {"_line": F.row_number().over(within.orderBy("seq")), "_here": F.count(F.lit(1)).over(within)}
+    ).join(shifts, split, "left")
+    # the files are read twice; should Spark have cut them differently the second time, fail rather than misnumber
+    line = F.when(F.col("_here") == F.col("_lines"), (F.col("_before") + F.col("_line")).cast("int")).otherwise(
+        F.raise_error(F.lit("file splits changed while lines were numbered; run again"))
     )
-    return numbered.drop("block", "seq", "_lines", "_line", "_before")
+    return numbered.withColumn("line", line).drop("block", "seq", "_lines", "_line", "_before", "_here")
