@@ -1,3 +1,30 @@
 """The same results as DuckDB SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS l, list_slice(w, p, p + least(len(w), 10) - 1) AS k
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM b WHERE len(w) > 0)
+), lens AS (SELECT DISTINCT l FROM iw
+), dw AS (
+  SELECT doc_id, p, l, list_slice(w, p, p + l - 1) AS k
+  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM d, lens)
+), hits AS (SELECT doc_id, p, dw.l AS l, item_id FROM dw JOIN iw ON dw.l = iw.l AND dw.k = iw.k
+), words AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM (SELECT DISTINCT doc_id, p, l FROM hits)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {
+    "op2_decontamination": _DECONTAMINATION,
+}

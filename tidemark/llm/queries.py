@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontam import contaminated, contamination
 from tidemark.llm.quality import score_quality
+from tidemark.llm.simhash import as_hex, near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +20,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("row.doc_id").alias("doc_id"), *base, "base_failed", "kept", "quality", "votes")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    items = F.array_join("found.items", ",")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("found.n_words").alias("n_words"),
+        F.col("found.n_hit").alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(items.cast("binary"), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return linked.select(F.col("row.doc_id").alias("doc_id"), as_hex().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
+    "op3_simhash_dedup": op3_simhash_dedup,
 }
