@@ -25,6 +25,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_LINES = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, p, ls[p] AS line,
+         trim(translate(ls[p], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)
+), s AS (
+  SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE s.k IS NOT NULL AND doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE s.k IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM l LEFT JOIN s ON l.k = s.k GROUP BY doc_id
+"""
+
 ORACLES = {
     "op2_decontamination": _DECONTAMINATION,
+    "op8_line_dedup": _LINES,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontam import contaminated, contamination
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.quality import score_quality
 from tidemark.llm.simhash import as_hex, near_duplicates
 
@@ -38,8 +39,14 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("row.doc_id").alias("doc_id"), as_hex().alias("fingerprint"), "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op8_line_dedup": op8_line_dedup,
 }
