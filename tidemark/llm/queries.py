@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import BytePairs, ids_as_bytes
 from tidemark.llm.decontam import contaminated, contamination
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.quality import score_quality
 from tidemark.llm.simhash import as_hex, near_duplicates
+from tidemark.llm.token_counts import token_counter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,14 +42,35 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("row.doc_id").alias("doc_id"), as_hex().alias("fingerprint"), "component_id")
 
 
+def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Documents with ``n_tokens`` and the digests of their ids and of the bytes decoded from them."""
+    pairs = BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = docs.select("doc_id", pairs.encode("text").alias("ids"))
+    coded = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_as_bytes("ids").alias("raw"), pairs.decode("ids").alias("decoded"))
+    return coded.select("doc_id", "n_tokens", F.sha2("raw", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = token_counter(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    counted = table(spark, sf_dir, "documents").select("doc_id", size.alias("n_bytes"), tokens("text").alias("n_tokens"))
+    return counted.select("*", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
+    "op10_token_counts": op10_token_counts,
 }
