@@ -39,7 +39,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE s.k IS NOT NULL AND d
 FROM l LEFT JOIN s ON l.k = s.k GROUP BY doc_id
 """
 
+_CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### : </turn>') + 1 + length(regexp_replace(role, '[\\\\#<:]', 'xx', 'g')) + length(regexp_replace(text, '[\\\\#<]', 'xx', 'g'))) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
 ORACLES = {
     "op2_decontamination": _DECONTAMINATION,
+    "op4_chat_formatting": _CHAT,
     "op8_line_dedup": _LINES,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import BytePairs, ids_as_bytes
+from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.quality import score_quality
@@ -42,6 +43,19 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("row.doc_id").alias("doc_id"), as_hex().alias("fingerprint"), "component_id")
 
 
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role")) for k, role in enumerate(("user", "assistant"))])).alias("t"),
+    )
+    control = control.select("conv_id", "t.turn", "t.role", F.lit(CONTROL_TEXT).alias("text"))
+    return read_back(format_conversations(rows.unionByName(control)))
+
+
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Documents with ``n_tokens`` and the digests of their ids and of the bytes decoded from them."""
     pairs = BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -70,6 +84,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_chat_formatting": op4_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op10_token_counts": op10_token_counts,
