@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import BytePairs, ids_as_bytes
 from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.ngram_lm import train
 from tidemark.llm.quality import score_quality
 from tidemark.llm.simhash import as_hex, near_duplicates
 from tidemark.llm.token_counts import token_counter
@@ -64,6 +65,18 @@ def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("raw", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def fold(doc_id: str, folds: int, held: int) -> Column:
+    """True for the rows that learning must not see; rows without an id are not among them."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == held, F.lit(False))
+
+
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 10, 0).alias("held_out"))
+    model = train(docs.where("not held_out"))
+    scored = docs.select("doc_id", "held_out", model.scores("text").alias("s"))
+    return scored.select("doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "s.base_score", "s.score")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
 
@@ -85,6 +98,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_ngram_lm": op5_ngram_lm,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_line_dedup": op8_line_dedup,
     "op10_token_counts": op10_token_counts,
