@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import BytePairs, ids_as_bytes
 from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
+from tidemark.llm.langid import train_language_model
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_lm import train
 from tidemark.llm.quality import score_quality
 from tidemark.llm.simhash import as_hex, near_duplicates
 from tidemark.llm.token_counts import token_counter
+from tidemark.llm.toxicity import train_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,11 +83,26 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4, 2))
+    model = train_language_model(docs.where("not held_out"))
+    found = docs.select("doc_id", "held_out", model.predict(docs).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 5, 0).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~fold("doc_id", 5, 0))
+    model = train_toxicity(docs.where("not held_out"), labels)
+    scored = docs.select("doc_id", "held_out", model.score(docs).alias("score"))
+    return scored.select("*", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_counter(spark, public_tokenizers.path("byte_bpe_50k.json"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -100,6 +117,8 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_ngram_lm": op5_ngram_lm,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
 }
