@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark.llm import arrays
 from tidemark.llm.samples import sample_by_class
 
-WINDOW_WORDS, WINDOW_STEP = 3, 2
+WINDOW_WORDS, WINDOW_STEP = 3, 1
 BASE_BYTES, CLASS_BYTES = 32 << 10, 2 << 10
 _ANCHOR = 64
 _EDGES = b".,;:!?()\"'"
