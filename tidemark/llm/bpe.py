@@ -9,7 +9,7 @@ short ones. Parts are a linked list over the bytes; entries that a later merge h
 from __future__ import annotations
 
 import base64
-import heapq
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,56 +25,53 @@ from tidemark.llm.pretokens import Pretokenizer
 class RankQueue:
     """Buckets of positions by rank below two levels of bitmap: one word of bits for the words that are not empty.
 
-    A word has as many bits as there are words, so two levels serve any number of ranks.
+    A word has as many bits as there are words, so two levels serve any number of ranks. Empty between pre-tokens.
     """
 
     def __init__(self, ranks: int):
         self.shift = max(1, (max(ranks, 2) - 1).bit_length() + 1 >> 1)
         self.words = [0] * ((max(ranks, 1) - 1 >> self.shift) + 1)
-        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank >> self.shift
-            self.words[word] |= 1 << (rank - (word << self.shift))
-            self.top |= 1 << word
-        else:
-            heapq.heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int]:
-        """The lowest rank and its leftmost position; not to be called while ``top`` is 0."""
-        word = (self.top & -self.top).bit_length() - 1
-        bits = self.words[word]
-        rank = (word << self.shift) + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heapq.heappop(bucket)
-        del self.buckets[rank]
-        bits &= bits - 1
-        self.words[word] = bits
-        if not bits:
-            self.top &= self.top - 1
-        return rank, bucket[0]
-
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Token ids of one pre-token. ``queue`` is empty before and after."""
+    """Token ids of one pre-token: the lowest rank first, of its positions the leftmost."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n, rank_of, push, pop = len(piece), ranks.get, queue.push, queue.pop
+    n, rank_of = len(piece), ranks.get
+    words, buckets, shift, low_bits, top = queue.words, queue.buckets, queue.shift, (1 << queue.shift) - 1, 0
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
     pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
-    for i, rank in enumerate(pair):
-        if rank >= 0:
-            push(rank, i)
+    fresh = [(rank, i) for i, rank in enumerate(pair) if rank >= 0]
     pair.append(-1)
-    while queue.top:
-        rank, i = pop()
+    while fresh or top:
+        for rank, i in fresh:
+            bucket = buckets.get(rank)
+            if bucket is None:
+                buckets[rank] = [i]
+                word = rank >> shift
+                words[word] |= 1 << (rank & low_bits)
+                top |= 1 << word
+            else:
+                heappush(bucket, i)
+        fresh = []
+        # first set bit of either level
+        first = top & -top
+        word = first.bit_length() - 1
+        bits = words[word]
+        bit = bits & -bits
+        rank = (word << shift) + bit.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            words[word] = bits ^ bit
+            if bits == bit:
+                top ^= first
         if pair[i] != rank:  # stale
             continue
         gone = after[i]
@@ -84,14 +81,14 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             before[end] = i
             pair[i] = rank = rank_of(piece[i : after[end]], -1)
             if rank >= 0:
-                push(rank, i)
+                fresh.append((rank, i))
         else:
             pair[i] = -1
         left = before[i]
         if left >= 0:
             pair[left] = rank = rank_of(piece[left:end], -1)
             if rank >= 0:
-                push(rank, left)
+                fresh.append((rank, left))
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
@@ -127,6 +124,9 @@ def held(key: tuple, make):
     return _HELD[key[0]][1]
 
 
+CODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+
+
 class BytePairs:
     """Column functions for one rank file. Its content is broadcast: its size is that of the vocabulary."""
 
@@ -148,6 +148,22 @@ class BytePairs:
 
         return F.arrow_udf(of_batch, returnType=T.ArrayType(T.IntegerType()))(F.col(text) if isinstance(text, str) else text)
 
+    def round_trip(self, text: str | Column) -> Column:
+        """Struct of ``ids`` (the ids as little-endian unsigned 32-bit integers, ``binary``) and ``decoded``, the bytes that they decode to.
+
+        One call for both: a column function that takes another's result would encode every text again for each use.
+        """
+        ranks, pattern, key = self._ranks, self._pattern, self._key
+
+        def of_batch(texts: pa.Array) -> pa.Array:
+            encode = held(("encoder", *key), lambda: Encoder(ranks.value, pattern)).encode
+            token = held(("decoder", *key), lambda: {rank: token for token, rank in ranks.value.items()}).__getitem__
+            coded = [encode(x.as_py()) if x.is_valid else b"" for x in texts]
+            decoded = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in coded]
+            return pa.StructArray.from_arrays([pa.array(coded, pa.binary()), pa.array(decoded, pa.binary())], CODED.names)
+
+        return F.arrow_udf(of_batch, returnType=CODED)(F.col(text) if isinstance(text, str) else text)
+
     def decode(self, ids: str | Column) -> Column:
         """The bytes of the ids, as ``binary``; null or no ids: no bytes. An unknown id fails."""
         ranks, key = self._ranks, ("decoder", *self._key)
@@ -157,12 +173,3 @@ class BytePairs:
             return pa.array([b"".join(map(token, row.values.tolist())) if row.is_valid else b"" for row in lists], pa.binary())
 
         return F.arrow_udf(of_batch, returnType=T.BinaryType())(F.col(ids) if isinstance(ids, str) else ids)
-
-
-def ids_as_bytes(ids: str | Column) -> Column:
-    """``binary`` with each id as a little-endian unsigned 32-bit integer."""
-
-    def of_batch(lists: pa.Array) -> pa.Array:
-        return pa.array([row.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() if row.is_valid else b"" for row in lists], pa.binary())
-
-    return F.arrow_udf(of_batch, returnType=T.BinaryType())(F.col(ids) if isinstance(ids, str) else ids)

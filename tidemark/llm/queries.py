@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import BytePairs, ids_as_bytes
+from tidemark.llm.bpe import BytePairs
 from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
 from tidemark.llm.langid import train_language_model
@@ -62,9 +62,9 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Documents with ``n_tokens`` and the digests of their ids and of the bytes decoded from them."""
     pairs = BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = docs.select("doc_id", pairs.encode("text").alias("ids"))
-    coded = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_as_bytes("ids").alias("raw"), pairs.decode("ids").alias("decoded"))
-    return coded.select("doc_id", "n_tokens", F.sha2("raw", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", pairs.round_trip("text").alias("coded"))
+    tokens = (F.octet_length("coded.ids") / 4).cast("long")
+    return coded.select("doc_id", tokens.alias("n_tokens"), F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def fold(doc_id: str, folds: int, held: int) -> Column:
