@@ -114,7 +114,7 @@ def search(words: np.ndarray, queries: Queries) -> tuple[np.ndarray, np.ndarray]
         return none
     vocabulary, ids = np.unique(words, return_inverse=True)
     at = np.searchsorted(vocabulary, queries.words)
-    wanted = np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == queries.words, at + 1, 0)
+    wanted = np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == queries.words, at + 1, -1)  # 0 is what follows the last word
     active = np.flatnonzero((queries.need > 0) & (wanted > 0))
     if not len(active):
         return none
@@ -155,6 +155,7 @@ def find(texts: pa.Array, before: pa.StructArray | None, queries: Queries) -> pa
         edges = np.zeros(len(words) + 1, np.int64)
         np.add.at(edges, place, 1)
         np.add.at(edges, place + queries.need[suffix], -1)
+        inside_windows = np.cumsum(edges[:-1]) > 0
         by_row = np.argsort(rows[place], kind="stable")
         cuts = np.searchsorted(rows[place][by_row], np.arange(last - first + 1))
         for k in range(last - first):
@@ -163,7 +164,7 @@ def find(texts: pa.Array, before: pa.StructArray | None, queries: Queries) -> pa
             row = earlier[first + k] or {"n_hit": 0, "runs": [], "items": [], "longest_words": 0, "longest_item": None, "longest_at": None}
             row["n_words"] = end - start
             if len(mine):
-                covered = np.cumsum(edges[start:end]) > 0
+                covered = inside_windows[start:end].copy()
                 for a, b in zip(row["runs"][::2], row["runs"][1::2]):
                     covered[a:b] = True
                 row["n_hit"] = int(covered.sum())
