@@ -72,7 +72,8 @@ def planted_documents():
     item = " ".join(f"question{k}" for k in range(12))
     clean = [(k, prose(k)) for k in range(40)]
     lined = [(100 + k, f"{shared}\n{prose(100 + k)}") for k in range(4)]
-    near = [(200, prose(50, 400)), (201, prose(50, 400)), (202, prose(50, 400).replace("word", "WORD"))]
+    # two copies, and one whose lines are cut elsewhere: three equal lines would be the line dedup's affair
+    near = [(200, prose(50, 400)), (201, prose(50, 400)), (202, prose(50, 400).upper().replace(" ", "\n", 1))]
     dirty = [(300, prose(60) + " " + item.upper() + " " + prose(61))]
     junk = [(400 + k, " ".join(f"x{j}### y{j}$$$ |" for j in range(40))) for k in range(3)]
     return clean, lined, near, dirty, junk, [(500, None), (501, ""), (None, prose(70)), (40, prose(71)), (40, prose(71))], item
