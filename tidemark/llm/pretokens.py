@@ -18,7 +18,7 @@ _LONGEST_KEY = 100
 class Memo(dict):
     """``memo[key]`` is ``make(key)``, remembered. Two generations of at most ``limit`` keys; long keys are not kept."""
 
-    def __init__(self, make: Callable, limit: int = 200_000):
+    def __init__(self, make: Callable, limit: int = 350_000):
         super().__init__()
         self._make, self._limit, self._older = make, limit, {}
 
