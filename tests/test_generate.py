@@ -75,15 +75,15 @@ def expected():
     }
 
 
-@pytest.mark.parametrize("limit, strategy", [(1 << 20, "broadcast"), (0, "shuffle")])
-@pytest.mark.parametrize("regroup", [None, False])
-def test_next_snapshot(spark, world, limit, strategy, regroup):
+@pytest.mark.parametrize("limit", [1 << 20, 4096])
+@pytest.mark.parametrize("regroup", [True, False])
+def test_next_snapshot(spark, world, limit, regroup):
     root, log = world
     report = generate_snapshot(
         spark, str(root), str(log), live_frame(spark, LIVE), datetime(2018, 1, 9),
-        broadcast_key_bytes=limit, regroup=regroup,
+        filter_bytes=limit, regroup=regroup,
     )
-    assert report.strategy == strategy
+    assert report.regrouped == regroup
     assert report.days == ["20180107", "20180108"]
     assert (report.updated, report.deleted, report.copied_files) == (4, 1, 5)
     assert [r[0] for r in report.dropped.collect()] == ["test:table:00", "test:table:09"]
@@ -158,37 +158,74 @@ def test_vouched_unique_prior_and_scratch_is_cleared(spark, tmp_path):
     point_at(root, PRIOR)
     write_log(spark, [change("t", "k3", 2, "20180107", "new"), change("t", "k4", 2, "20180107", deleted=True)], log)
     scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
-    for step, limit in enumerate((1 << 20, 0)):
+    for step, limit in enumerate((1 << 20, 4096)):
         out = tmp_path / f"out{step}"
-        report = generate_snapshot(
+        generate_snapshot(
             spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9), output_root=str(out),
-            prior_unique=True, broadcast_key_bytes=limit, documents_per_file=4,
+            prior_unique=True, filter_bytes=limit, documents_per_file=4,
         )
-        assert report.strategy == ("shuffle" if step else "broadcast")
         kept = [document("t", f"k{i}") for i in range(10) if i not in (3, 4)]
         assert read_back(out, NEXT) == {"t": sorted(kept + [document("t", "k3", 2, "new")])}
-    assert not list(scratch.glob("compaction-*"))
+    assert not [p for kind in ("compaction", "status", "plan", "hidden") for p in scratch.glob(f"{kind}-*")]
 
 
-def test_lz4_changes(spark, tmp_path):
+def test_changes_in_another_encoding_fail(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from tidemark.functions.payload import text_to_lz4
     from tidemark.sinks.change_log import append_change_log
     from support import change_frame
 
     root, log = tmp_path / "root", tmp_path / "log"
-    write_file(root, PRIOR, "t", "a.json", [document("t", "a"), document("t", "b")])
+    write_file(root, PRIOR, "t", "a.json", [document("t", "a")])
     point_at(root, PRIOR)
-    rows = change_frame(spark, [change("t", "a", 2, "20180107", "packed"), change("t", "c", 2, "20180107", "plain")])
-    packed = rows.withColumn("encoding", F.when(F.col("key") == "a", 1).otherwise(0)).withColumn(
-        "content", F.when(F.col("key") == "a", text_to_lz4(F.decode("content", "UTF-8"))).otherwise(F.col("content"))
-    )
-    append_change_log(packed, str(log), 1)
-    generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9))
-    assert read_back(root, NEXT) == {
-        "t": sorted([document("t", "a", 2, "packed"), document("t", "b"), document("t", "c", 2, "plain")])
-    }
+    rows = change_frame(spark, [change("t", "a", 2, "20180107")]).withColumn("encoding", F.lit(1))
+    append_change_log(rows, str(log))
+    with pytest.raises(Exception, match="unsupported encoding code 1"):
+        generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9))
+    assert latest_snapshot(spark, str(root)) == PRIOR
+
+
+@pytest.mark.parametrize("folder", ["missing", "empty", "other tables"])
+def test_new_tables_without_prior_files(spark, tmp_path, folder):
+    root, log = tmp_path / "root", tmp_path / "log"
+    point_at(root, PRIOR)
+    if folder != "missing":
+        (root / PRIOR).mkdir(parents=True)
+    if folder == "other tables":
+        write_file(root, PRIOR, "old", "a.json", [document("old", "a")])
+    write_log(spark, [change("new", "k", 1, "20180107", "first")], log)
+    generate_snapshot(spark, str(root), str(log), live_frame(spark, ["new", "old"]), datetime(2018, 1, 9))
+    want = {"new": [document("new", "k", 1, "first")]} | ({"old": [document("old", "a")]} if folder == "other tables" else {})
+    assert read_back(root, NEXT) == want
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_tables_with_hidden_names_survive(spark, tmp_path, plain):
+    from tidemark.sources.snapshot import scan_snapshot_keys
+
+    root, log = tmp_path / "root", tmp_path / "log"
+    names = ["__system:x", ".dot", "plain"]
+    for name in names:
+        write_file(root, PRIOR, name, f"{name.replace(':', '~')}-0000.gz", [document(name, "a"), document(name, "b")])
+    (root / PRIOR / "_temporary" / "0").mkdir(parents=True)
+    point_at(root, PRIOR)
+    write_log(spark, [change("__system:x", "a", 2, "20180107", "new")], log)
+    live = live_frame(spark, names)
+    for day in (9, 10):
+        generate_snapshot(spark, str(root), str(log), live, datetime(2018, 1, day), plain_names=plain)
+        found = scan_snapshot_keys(spark, str(root), latest_snapshot(spark, str(root)), position=False)
+        want = {(n, k): document(n, k, 2, "new") if (n, k) == ("__system:x", "a") else document(n, k) for n in names for k in "ab"}
+        assert {(r["table"], r["key"]): r["value"] for r in found.collect()} == want
+
+
+def test_two_tables_in_one_plain_folder_are_refused(spark, tmp_path):
+    root, log = tmp_path / "root", tmp_path / "log"
+    write_file(root, PRIOR, "other", "a.json", [document("other", "a")])
+    point_at(root, PRIOR)
+    write_log(spark, [change("a:b", "k", 1, "20180107"), change("a~b", "k", 1, "20180107")], log)
+    with pytest.raises(Exception, match="two files of the snapshot would be named"):
+        generate_snapshot(spark, str(root), str(log), live_frame(spark, ["a:b", "a~b"]), datetime(2018, 1, 9), plain_names=True, documents_per_file=1)
+    assert latest_snapshot(spark, str(root)) == PRIOR
 
 
 def test_plain_names(spark, world):
@@ -235,7 +272,7 @@ def test_no_changes_at_all(spark, tmp_path):
 
 
 @pytest.mark.parametrize("prior_unique", [False, True])
-def test_tables_with_many_changes_are_shuffled_and_the_others_not(spark, tmp_path, prior_unique):
+def test_a_crowded_key_filter_changes_nothing(spark, tmp_path, prior_unique):
     root, log = tmp_path / "root", tmp_path / "log"
     tables = {"few": 1, "some": 3, "many": 40}
     for table in tables:
@@ -247,9 +284,9 @@ def test_tables_with_many_changes_are_shuffled_and_the_others_not(spark, tmp_pat
     write_log(spark, rows, log)
     report = generate_snapshot(
         spark, str(root), str(log), live_frame(spark, list(tables)), datetime(2018, 1, 9),
-        broadcast_key_bytes=2000, prior_unique=prior_unique,
+        filter_bytes=4096, prior_unique=prior_unique,
     )
-    assert report.strategy == "mixed" and report.updated == 44
+    assert report.updated == 44
     want = {
         t: sorted([document(t, f"k{i:02}", 2, "new") for i in range(n)] + [document(t, f"k{i:02}") for i in range(n, 50)])
         for t, n in tables.items()

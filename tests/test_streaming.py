@@ -72,18 +72,22 @@ def test_condition_and_invalid_documents(spark, tmp_path):
         parse_events(spark.read.text(str(source)), on_invalid="ignore")
 
 
-def test_lz4_log(spark, tmp_path):
-    from tidemark.functions.payload import decode_payload
+@pytest.mark.parametrize("bad", ['[{"eventKey":"e1","content":{"~id"', "not json", '"text"'])
+def test_unreadable_pages_stop_the_stream_or_are_kept(spark, tmp_path, bad):
+    from tidemark.streaming.events import parse_envelopes
+
+    pages = spark.createDataFrame([(bad,), ("[]",), (" ",), ('[{"eventKey":"e2","content":{"a":1}}]',)], "value string")
+    kept = parse_envelopes(pages, "keep").collect()
+    assert sorted((r["eventKey"] or "", r["value"]) for r in kept) == [("", bad), ("e2", '{"a":1}')]
+    assert [r["eventKey"] for r in parse_envelopes(pages, "drop").collect()] == ["e2"]
+    with pytest.raises(Exception, match="unreadable page"):
+        parse_envelopes(pages).collect()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "page.txt").write_text(bad + "\n")
+    with pytest.raises(Exception, match="unreadable page"):
+        run(spark, tmp_path / "in", tmp_path / "log", tmp_path / "cp")
 
-    land(tmp_path / "in", "1.json", document("t", "a", 1, text="x" * 5000), document("t", "b", 1, deleted=True))
-    run(spark, tmp_path / "in", tmp_path / "log", tmp_path / "cp", encoding="LZ4")
-    rows = read_change_log(spark, str(tmp_path / "log"))
-    assert {r["encoding"] for r in rows.collect()} == {1}
-    text = rows.select("key", decode_payload(F.col("encoding"), F.col("content")).alias("t")).orderBy("key").collect()
-    assert [r["t"] for r in text] == [document("t", "a", 1, text="x" * 5000), None]
 
-
-@pytest.mark.parametrize("moment", ["before", "half", "after"])
 def test_a_crashed_batch_is_replayed_without_doubling(spark, tmp_path, monkeypatch, moment):
     source, log, checkpoint = tmp_path / "in", tmp_path / "log", tmp_path / "cp"
     documents = [document("t", f"k{i}", 1) for i in range(20)]

@@ -86,11 +86,11 @@ def is_complete(attributes: list[str] = METADATA_COLUMNS) -> Column:
 
 
 def require_complete(df: DataFrame, document: str = "value", attributes: list[str] = METADATA_COLUMNS) -> DataFrame:
-    """Fail the job on the first document that lacks an attribute."""
+    """Fail the job on the first document that lacks an attribute, whatever columns are read afterwards."""
     message = F.concat(
         F.lit("document lacks a required attribute: "), F.coalesce(F.substring(F.col(document), 1, 200), F.lit("null"))
     )
-    return df.withColumn("key", F.when(is_complete(attributes), F.col("key")).otherwise(F.raise_error(message)))
+    return df.where(F.when(is_complete(attributes), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def valid_documents(df: DataFrame) -> DataFrame:

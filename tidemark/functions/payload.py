@@ -1,10 +1,10 @@
-"""Payload encodings of the change log: UTF-8 text, or a big-endian length followed by an LZ4 block."""
+"""Payload encodings of the change log: UTF-8 text. Rows in any other encoding fail the job that reads them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-from tidemark.schema import ENCODINGS, LZ4, TEXT
+from tidemark.schema import TEXT
 
 
 def text_to_bytes(text: Column) -> Column:
@@ -15,64 +15,8 @@ def bytes_to_text(payload: Column) -> Column:
     return F.decode(payload, "UTF-8")
 
 
-def _lz4_column_functions():
-    # nested, so that they travel to the executors by value
-    def pack(column):
-        import pyarrow as pa
-
-        codec = pa.Codec("lz4_raw")
-
-        def one(text):
-            if text is None:
-                return None
-            raw = text.encode("utf-8")
-            return len(raw).to_bytes(4, "big") + codec.compress(raw, asbytes=True)
-
-        return column.map(one)
-
-    def unpack(column):
-        import pyarrow as pa
-
-        codec = pa.Codec("lz4_raw")
-
-        def one(payload):
-            if payload is None:
-                return None
-            size = int.from_bytes(payload[:4], "big")
-            if size == 0:
-                return ""
-            return codec.decompress(payload[4:], decompressed_size=size, asbytes=True).decode("utf-8")
-
-        return column.map(one)
-
-    return pack, unpack
-
-
-def text_to_lz4(text: Column) -> Column:
-    pack, _ = _lz4_column_functions()
-    return F.pandas_udf(pack, T.BinaryType())(text)
-
-
-def lz4_to_text(payload: Column) -> Column:
-    _, unpack = _lz4_column_functions()
-    return F.pandas_udf(unpack, T.StringType())(payload)
-
-
-def encode_payload(text: Column, encoding: str = "TEXT") -> Column:
-    if encoding not in ENCODINGS:
-        raise ValueError(f"unsupported encoding {encoding!r}")
-    return text_to_lz4(text) if encoding == "LZ4" else text_to_bytes(text)
-
-
-def decode_payload(encoding: Column, payload: Column, lz4: bool = True) -> Column:
-    """Text of a payload, chosen by its encoding code; any other code fails the job.
-
-    ``lz4=False`` keeps the plan free of Python for logs known to hold text only, and then fails on LZ4 rows.
-    """
-    chosen = F.when(encoding == TEXT, bytes_to_text(payload))
-    if lz4:
-        # only LZ4 payloads cross to Python; text rows send a null
-        chosen = chosen.when(encoding == LZ4, lz4_to_text(F.when(encoding == LZ4, payload)))
-    return chosen.otherwise(
+def decode_payload(encoding: Column, payload: Column) -> Column:
+    """Text of a payload, chosen by its encoding code; any other code fails the job."""
+    return F.when(encoding == TEXT, bytes_to_text(payload)).otherwise(
         F.raise_error(F.concat(F.lit("unsupported encoding code "), encoding.cast("string")))
     )

@@ -65,5 +65,5 @@ def snapshot_file_plan(documents: DataFrame, documents_per_file: int = DOCUMENTS
 
 def files_for(documents: Column, documents_per_file: int = DOCUMENTS_PER_FILE) -> Column:
     """Whole number of files that hold so many documents, in integer arithmetic."""
-    size = F.lit(documents_per_file)
-    return ((documents + size - 1 - F.pmod(documents + size - 1, size)) / size).cast("bigint")
+    size = F.lit(documents_per_file).cast("bigint")
+    return F.call_function("div", documents + size - 1, size)

@@ -57,7 +57,8 @@ def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False)
 
     ``ids`` comes from :func:`latest_change_ids`. The poll day is part of the join, as a redelivered change has
     the same id on another day; a row written twice on one day counts once. ``small_ids`` says that the caller
-    has measured ``ids`` and a broadcast is safe; then log rows that lost never leave their scan task.
+    has measured ``ids`` and a broadcast is safe; then log rows that lost never leave their scan task. For more ids,
+    let a :class:`tidemark.operators.key_filter.KeyFilter` over them take the losers out of ``changes`` first.
     """
     on = PAYLOAD_KEY
     picked = ids.select(*on)
@@ -67,10 +68,7 @@ def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False)
         ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*on).orderBy("encoding", "content")))
         return ranked.where(F.col("_rank") == 1).drop("_rank")
 
-    if small_ids:
-        return once(wide.join(F.broadcast(picked), on))
-    # repeats are removed on the way into the shuffle that the join then reuses, so they cannot pile up in one task
-    return once(wide).join(picked, on)
+    return once(wide.join(F.broadcast(picked) if small_ids else picked, on))
 
 
 def position_order(prior: DataFrame) -> list[str]:

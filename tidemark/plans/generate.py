@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import check_snapshot_order, window_days
 from tidemark.functions.naming import format_snapshot_name, parse_snapshot_name
 from tidemark.functions.payload import decode_payload
 from tidemark.operators.combine import files_for, unchanged_documents
+from tidemark.operators.key_filter import FILTER_BYTES, KeyFilter
 from tidemark.operators.newest import (
     PAYLOAD_KEY,
     change_payloads,
@@ -22,26 +22,19 @@ from tidemark.operators.newest import (
 )
 from tidemark.operators.table_set import TableSet
 from tidemark.operators.tables import classify_tables
-from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, LZ4
+from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE
 from tidemark.session import scratch_path, stage
 from tidemark.sinks.snapshot import copy_files, name_files, publish_snapshot, write_snapshot
 from tidemark.sources import storage
 from tidemark.sources.change_log import read_change_log
 from tidemark.sources.snapshot import Snapshot, latest_snapshot, snapshot_files
 
-# A set of document keys up to this size (with row overhead) is broadcast against the prior snapshot.
-BROADCAST_KEY_BYTES = 256 * 1024 * 1024
-_ROW_OVERHEAD = 64
-# Prior files smaller than this on average are regrouped instead of being carried over task by task.
-SMALL_FILE_BYTES = 8 * 1024 * 1024
-
 
 @dataclass
 class SnapshotReport:
     """What a compaction did.
 
-    ``strategy`` is ``broadcast``, ``shuffle`` or ``mixed``; ``dropped`` lists, sorted, tables with changes that are
-    no longer live.
+    ``dropped`` lists, sorted, tables with changes that are no longer live; it is computed from the inputs when it is read.
     """
 
     name: str
@@ -49,19 +42,10 @@ class SnapshotReport:
     updated: int
     deleted: int
     copied_files: int
-    strategy: str
     regrouped: bool
     dropped: DataFrame = field(repr=False)
 
 
-def key_bytes(columns: list[str]) -> Column:
-    """Aggregate: size of the rows as a broadcast relation of these text columns."""
-    size = F.lit(_ROW_OVERHEAD).cast("long")
-    for name in columns:
-        size = size + F.octet_length(name)
-    return F.coalesce(F.sum(size), F.lit(0))
-
-
 def generate_snapshot(
     spark: SparkSession,
     root: str,
@@ -73,24 +57,24 @@ def generate_snapshot(
     documents_per_file: int = DOCUMENTS_PER_FILE,
     lookback_days: int = 0,
     strict: bool = True,
-    regroup: bool | None = None,
+    regroup: bool = False,
     prior_unique: bool = False,
     plain_names: bool = False,
-    broadcast_key_bytes: int = BROADCAST_KEY_BYTES,
+    filter_bytes: int = FILTER_BYTES,
 ) -> SnapshotReport:
     """Write the snapshot for time ``when`` below ``output_root`` (default: ``root``) and point ``_LATEST`` at it.
 
     The pointer moves only after every file is written, so a failed run leaves readers on the old snapshot and
     can simply be run again.
 
-    The changed keys are picked on narrow columns, written to the shared scratch area and measured. For as many
-    tables as fit in a broadcast together the prior snapshot, by far the larger side, streams past the keys without
-    a shuffle and only picked payloads are moved; in the other tables, those with the most changes, both sides meet
-    in a shuffle by ``(table, key)``.
-    ``regroup`` sorts the carried-over documents into full-sized files too; by default that is done when the
-    prior files have become small. ``prior_unique`` vouches that no merged table holds a document twice, which
-    saves the pass that looks for such. ``plain_names`` renames the finished files to
-    ``<table>/<table>-<md5 of the first key>.gz``; else they are ``table=<table>/part-….gz``.
+    The changed keys are picked on narrow columns and written to the shared scratch area. A filter of at most
+    ``filter_bytes`` over them, and over the keys that the prior snapshot holds more than once, tells which prior documents
+    cannot be concerned: the task that reads those writes them, and only the others are shuffled and compared
+    exactly. The same way, changes that were not picked never leave their scan with their payload.
+    ``regroup`` sorts the carried-over documents into full-sized files too; else they are written as they are read.
+    ``prior_unique`` vouches that no merged table holds a document twice, which saves the pass that looks for such.
+    ``plain_names`` renames the finished files to ``<table>/<table>-<md5 of the first key>.gz``; else they are
+    ``table=<table>/part-….gz``.
     """
     output_root = output_root or root
     prior_name = latest_snapshot(spark, root)
@@ -102,24 +86,22 @@ def generate_snapshot(
 
     # one listing of the log serves the whole run: batches that land meanwhile wait for the next window
     window = read_change_log(spark, change_log, days)
-    status = stage(classify_tables(live, window, copy_unmodified), "status")
     work = scratch_path(spark, "compaction")
     try:
-        report = _write(
-            Snapshot(spark, root, prior_name), target, window, status, work, documents_per_file, strict, regroup,
-            prior_unique, broadcast_key_bytes, plain_names,
-        )
+        status = stage(classify_tables(live, window, copy_unmodified), "status", work)
+        prior = Snapshot(spark, root, prior_name, work)
+        report = _write(prior, target, window, status, work, documents_per_file, strict, regroup, prior_unique, filter_bytes, plain_names)
         if plain_names:
-            name_files(snapshot_files(spark, output_root, name), target, work=work)
+            name_files(snapshot_files(spark, output_root, name, work=work), target, work=work)
     finally:
         storage.delete(spark, work)
     publish_snapshot(spark, output_root, name)
-    dropped = status.where(F.col("action") == "drop").select("table").orderBy("table")
+    dropped = classify_tables(live, window, copy_unmodified).where(F.col("action") == "drop").select("table").orderBy("table")
     return SnapshotReport(name=name, days=days, dropped=dropped, **report)
 
 
 def _write(
-    prior: Snapshot, target, window, status, work, documents_per_file, strict, regroup, prior_unique, limit, plain_names
+    prior: Snapshot, target, window, status, work, documents_per_file, strict, regroup, prior_unique, filter_bytes, plain_names
 ) -> dict:
     sets = TableSet.by_action(status)
     merged, copied = sets["merge"], sets["copy"]
@@ -127,65 +109,28 @@ def _write(
     # which change of each document counts: decided once, on narrow columns
     ids = stage(latest_change_ids(window, live=merged), "changed", work)
     per_table = stage(
-        ids.groupBy("table").agg(
-            F.count(F.lit(1)).alias("changed"),
-            F.count_if(F.col("deleted")).alias("deleted"),
-            F.count_if(F.col("encoding") == LZ4).alias("lz4"),
-            key_bytes(PAYLOAD_KEY).alias("bytes"),
-        ),
-        "per-table",
-        work,
+        ids.groupBy("table").agg(F.count(F.lit(1)).alias("changed"), F.count_if(F.col("deleted")).alias("deleted")), "per-table", work
     )
-    totals = per_table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("changed", "deleted", "lz4", "bytes")]).first()
-
-    # tables whose changed keys fit in a broadcast together, and the others
-    if totals["bytes"] <= limit:
-        narrow, wide = merged, merged.none()
-    else:
-        wide = TableSet.of(per_table.where(F.col("bytes") >= _cutoff(per_table, limit)))
-        narrow = merged.minus(wide)
-    narrow_ids = narrow.keep(ids)
-
-    repeated = narrow_lines = None
-    if not (prior_unique or narrow.is_empty()):
-        # the same pass counts the lines, for sizing only
-        seen = Observation()
-        keys = prior.documents(narrow, position=False, strict=strict).select(*DOCUMENT_KEY)
-        counted = keys.observe(seen, F.count(F.lit(1)).alias("lines"))
-        repeated = stage(repeated_documents(counted), "repeated", work)
-        narrow_lines = seen.get["lines"]
-        repeated_bytes = repeated.agg(key_bytes(DOCUMENT_KEY)).first()[0]
-        if repeated_bytes + narrow_ids.agg(key_bytes(DOCUMENT_KEY)).first()[0] > limit:
-            narrow, wide = merged.none(), merged
-            narrow_ids = narrow.keep(ids)
-        if not repeated_bytes:
-            repeated = None
+    totals = per_table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("changed", "deleted")]).first()
 
     # changed documents
-    halves = []
-    if not narrow.is_empty():
-        halves.append(change_payloads(narrow.keep(window), drop_tombstones(narrow_ids), small_ids=True))
-    if not wide.is_empty():
-        halves.append(change_payloads(wide.keep(window), drop_tombstones(wide.keep(ids))))
-    text = decode_payload(F.col("encoding"), F.col("content"), lz4=totals["lz4"] > 0)
+    live_ids = drop_tombstones(ids)
+    picked = KeyFilter(live_ids, PAYLOAD_KEY, filter_bytes)
+    newest = change_payloads(merged.keep(window).where(picked.maybe()), live_ids)
     live_counts = per_table.select("table", (F.col("changed") - F.col("deleted")).alias("documents"))
     plan = live_counts.select("table", files_for(F.col("documents"), documents_per_file).alias("files"))
-    newest = reduce(DataFrame.unionByName, halves) if halves else change_payloads(narrow.keep(window), narrow_ids)
-    write_snapshot(newest.select("table", "key", text.alias("value")), target, documents_per_file, plan)
+    text = decode_payload(F.col("encoding"), F.col("content"))
+    write_snapshot(newest.select("table", "key", text.alias("value")), target, documents_per_file, plan, work=work)
 
     # documents carried over
     regrouped = False
-    if not narrow.is_empty():
-        sizes = stage(_table_sizes(prior, narrow), "narrow-sizes", work)
-        # a line is checked on its first reading only
-        carried = _carried_past_broadcast(prior, narrow, narrow_ids, repeated, strict and narrow_lines is None)
-        regrouped = _write_carried(carried, prior, narrow, sizes, narrow_lines, regroup, target, documents_per_file)
-    if not wide.is_empty():
-        sizes = stage(_table_sizes(prior, wide), "wide-sizes", work)
-        copies = prior.documents(wide, position=not prior_unique, strict=strict)
-        single = copies if prior_unique else first_copies(copies)
-        carried = unchanged_documents(single, wide.keep(ids))
-        regrouped |= _write_carried(carried, prior, wide, sizes, None, True, target, documents_per_file)
+    if not merged.is_empty():
+        carried = _carried(prior, merged, ids, work, strict, prior_unique, filter_bytes)
+        if regroup:
+            sizes = stage(_table_sizes(prior, merged), "sizes", work)
+            regrouped = _write_regrouped(carried, prior, merged, sizes, target, documents_per_file, work)
+        else:
+            write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
 
     # unmodified tables
     copied_files = 0
@@ -196,57 +141,39 @@ def _write(
         "updated": totals["changed"] - totals["deleted"],
         "deleted": totals["deleted"],
         "copied_files": copied_files,
-        "strategy": "broadcast" if wide.is_empty() else "shuffle" if narrow.is_empty() else "mixed",
         "regrouped": regrouped,
     }
 
 
-def _cutoff(per_table: DataFrame, limit: int) -> int:
-    """Power of two such that the tables below it fit in the limit together. Looks at one total per power."""
-    power = F.floor(F.log2(F.col("bytes"))).alias("power")
-    total, cutoff = 0, 0
-    for row in per_table.groupBy(power).agg(F.sum("bytes").alias("bytes")).orderBy("power").collect():
-        total += row["bytes"]
-        if total > limit:
-            break
-        cutoff = 2 ** (row["power"] + 1)
-    return cutoff
-
-
 def _table_sizes(prior: Snapshot, tables: TableSet) -> DataFrame:
     """``table, files, bytes`` of the prior snapshot, from the listing."""
     return prior.files(tables).groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def _carried_past_broadcast(prior: Snapshot, tables: TableSet, ids: DataFrame, repeated: DataFrame | None, strict: bool):
-    """Prior documents without any change, each once, streamed past the measured keys."""
+def _carried(prior: Snapshot, tables: TableSet, ids: DataFrame, work: str, strict: bool, prior_unique: bool, filter_bytes: int) -> DataFrame:
+    """Prior documents without any change, each once. Those that the key filter lets go are never shuffled."""
     columns = [*DOCUMENT_KEY, "value"]
-    copies = prior.documents(tables, position=False, strict=strict)
-    if repeated is None:
-        return unchanged_documents(copies, ids, small=True).select(*columns)
-    blocked = ids.select(*DOCUMENT_KEY).unionByName(repeated)
-    single = unchanged_documents(copies, blocked, small=True).select(*columns)
-    # only documents that really occur more than once go through a shuffle
-    several = prior.documents(tables, strict=strict).join(
-        F.broadcast(unchanged_documents(repeated, ids, small=True)), DOCUMENT_KEY, "left_semi"
-    )
-    return single.unionByName(first_copies(several).select(*columns))
-
-
-def _write_carried(carried, prior: Snapshot, tables: TableSet, sizes, lines, regroup, target, documents_per_file) -> bool:
-    """Append the carried documents; says whether they were regrouped into files of the target size."""
+    concerned = ids.select(*DOCUMENT_KEY)
+    if not prior_unique:
+        # this pass also checks every line; a line is checked on its first reading only
+        keys = prior.documents(tables, position=False, strict=strict).select(*DOCUMENT_KEY)
+        concerned = concerned.unionByName(stage(repeated_documents(keys), "repeated", work))
+        strict = False
+    known = KeyFilter(concerned, DOCUMENT_KEY, filter_bytes)
+    single = prior.documents(tables, position=False, strict=strict).where(~known.maybe())
+    copies = prior.documents(tables, position=not prior_unique, strict=strict).where(known.maybe())
+    exact = unchanged_documents(copies if prior_unique else first_copies(copies), ids)
+    return single.select(*columns).unionByName(exact.select(*columns))
+
+
+def _write_regrouped(carried: DataFrame, prior: Snapshot, tables: TableSet, sizes: DataFrame, target, documents_per_file, work) -> bool:
+    """Append the carried documents in files of the target size; says whether there were any files to carry."""
     files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
     if not files:
         return False
-    if regroup is None:
-        regroup = size < files * SMALL_FILE_BYTES
-    if not regroup:
-        write_snapshot(carried, target, documents_per_file, grouped=False, mode="append")
-        return False
-    if lines is None:
-        lines = prior.lines(tables, position=False).count()
+    lines = prior.lines(tables, position=False).count()
     # share of the lines by bytes: only the number of files depends on it
-    estimate = F.greatest(F.ceil(F.col("bytes") * F.lit(lines / max(size, 1))), F.lit(1))
+    estimate = F.greatest(F.ceil(F.col("bytes") * F.lit(lines / max(size, 1))), F.lit(1)).cast("bigint")
     plan = sizes.select("table", files_for(estimate, documents_per_file).alias("files"))
-    write_snapshot(carried, target, documents_per_file, plan, mode="append")
+    write_snapshot(carried, target, documents_per_file, plan, mode="append", work=work)
     return True

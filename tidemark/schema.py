@@ -25,8 +25,6 @@ INTRINSIC_FIELDS = ["~table", "~id", "~version", "~lastUpdateAt", "~deleted"]
 
 # Payload encoding codes.
 TEXT = 0
-LZ4 = 1
-ENCODINGS = {"TEXT": TEXT, "LZ4": LZ4}
 
 # Table status bits.
 NEITHER = 0

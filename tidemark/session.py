@@ -31,8 +31,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; on a cluster a machine-local folder would be
-    invisible to the other executors, so that is an error.
+    Only a local session may go without that setting (its one machine is then the whole cluster); anywhere else a
+    machine-local folder would be invisible to the other executors, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:

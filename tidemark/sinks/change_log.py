@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import poll_date
 from tidemark.functions.identity import update_id
-from tidemark.functions.payload import encode_payload
+from tidemark.functions.payload import text_to_bytes
 from tidemark.operators.ordering import sort_documents
-from tidemark.schema import BATCH_PARTITIONS, CHANGE_PARTITIONS, CHANGE_SCHEMA, ENCODINGS
+from tidemark.schema import CHANGE_PARTITIONS, CHANGE_SCHEMA, TEXT
 from tidemark.sources import storage
 from tidemark.sources.change_log import read_change_log
 
 
-def to_change_rows(events: DataFrame, encoding: str = "TEXT", received: Column | None = None) -> DataFrame:
+def to_change_rows(events: DataFrame, received: Column | None = None) -> DataFrame:
     """Events with metadata columns and JSON ``value`` to change-log rows.
 
     A deleted change carries no payload. ``received`` is the batch time that gives the poll day; without it the
@@ -21,7 +21,7 @@ def to_change_rows(events: DataFrame, encoding: str = "TEXT", received: Column |
     """
     day = poll_date(received) if received is not None else F.col("pollDate")
     identity = update_id(*[F.col(c) for c in ("table", "key", "version", "lastUpdateTs", "deleted", "value")])
-    payload = encode_payload(F.when(~F.col("deleted"), F.col("value")), encoding)
+    payload = text_to_bytes(F.when(~F.col("deleted"), F.col("value")))
     return events.select(
         identity.alias("updateId"),
         "table",
@@ -29,17 +29,18 @@ def to_change_rows(events: DataFrame, encoding: str = "TEXT", received: Column |
         "version",
         "lastUpdateTs",
         "deleted",
-        F.lit(ENCODINGS[encoding]).alias("encoding"),
+        F.lit(TEXT).alias("encoding"),
         payload.alias("content"),
         day.alias("pollDate"),
     )
 
 
-def append_change_log(rows: DataFrame, path: str, partitions: int = BATCH_PARTITIONS) -> None:
+def append_change_log(rows: DataFrame, path: str, partitions: int | None = None) -> None:
     """Append in ``(table, key)`` order, one directory per poll day and table.
 
     The day leads the sort: a micro-batch has one, and a backfill of many then still touches each directory from
-    few tasks. Starting with the partition columns also spares the writer a sort of its own.
+    few tasks. Starting with the partition columns also spares the writer a sort of its own. Without ``partitions``
+    the number of tasks follows the size of the rows.
     """
     ordered = sort_documents(rows.select(*CHANGE_SCHEMA.fieldNames()), partitions, leading=("pollDate",))
     ordered.write.mode("append").partitionBy(*CHANGE_PARTITIONS).parquet(path)
@@ -54,8 +55,8 @@ def without_logged(rows: DataFrame, path: str) -> DataFrame:
     spark = rows.sparkSession
     if not storage.exists(spark, path):
         return rows
-    # a batch has one day, a backfill a few; past a year of them the whole log is read
-    days = [row[0] for row in rows.select("pollDate").distinct().limit(367).collect()]
-    logged = read_change_log(spark, path, days if len(days) < 367 else None)
     on = ["pollDate", "table", "updateId"]
+    # only the rows' days are read: the semi-join prunes the log's directories at run time. There are no more days than
+    # the calendar has, so they can be broadcast
+    logged = read_change_log(spark, path).join(F.broadcast(rows.select("pollDate").distinct()), "pollDate", "left_semi")
     return rows.join(logged.select(*on), on, "left_anti")

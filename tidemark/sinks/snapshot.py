@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.naming import RESERVED_IN_FOLDERS, encode_table_name, folder_name_of
+from tidemark.functions.naming import encode_table_name, folder_name_of
 from tidemark.operators.combine import snapshot_file_plan
 from tidemark.schema import DOCUMENTS_PER_FILE, FILES_PER_COPY_TASK, POINTER_FILE
 from tidemark.session import stage
 from tidemark.sources import storage
-
-
-# Upper limit on the tasks of one grouped write; each then writes several files.
-GROUPED_TASKS = 20_000
+from tidemark.sources.whole_files import file_tools
 
 
 def group_into_files(documents: DataFrame, plan: DataFrame) -> DataFrame:
@@ -28,7 +25,7 @@ def group_into_files(documents: DataFrame, plan: DataFrame) -> DataFrame:
         "file_number", F.pmod(F.xxhash64("key"), files)
     )
     order = ["table", "file_number"]
-    return numbered.repartition(min(total, GROUPED_TASKS), *order).sortWithinPartitions(*order, "key").drop("files")
+    return numbered.repartition(total, *order).sortWithinPartitions(*order, "key").drop("files")
 
 
 def write_snapshot(
@@ -38,6 +35,7 @@ def write_snapshot(
     plan: DataFrame | None = None,
     grouped: bool = True,
     mode: str = "overwrite",
+    work: str | None = None,
 ) -> None:
     """``table, key, value`` rows to gzipped JSON lines, one directory per table.
 
@@ -46,7 +44,7 @@ def write_snapshot(
     without a shuffle. Either way no file exceeds ``documents_per_file``.
     """
     if grouped and plan is None:
-        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan")
+        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan", work)
     # encoded before the sort: the writer then finds its partition column in order and does not sort again
     encoded = encode_table_name(F.col("table"))
     lines = documents.select(encoded.alias("table"), "key", "value")
@@ -64,34 +62,6 @@ def write_snapshot(
     )
 
 
-def _file_tools():
-    """Functions for tasks that handle whole files. Nested, so that they travel to the executors by value."""
-    reserved = RESERVED_IN_FOLDERS
-
-    def opened(uri):
-        from urllib.parse import quote, unquote
-
-        from pyarrow import fs
-
-        # Arrow knows the stores by their plain scheme names and wants reserved characters escaped
-        scheme, _, rest = uri.partition(":")
-        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-        rest = rest if rest.startswith("//") else "//" + rest
-        return fs.FileSystem.from_uri(f"{scheme}:{quote(unquote(rest), safe='/:@~=')}")
-
-    def partition_folder(name):
-        if name.startswith("table="):
-            return name
-        return "table=" + "".join(f"%{ord(c):02X}" if c in reserved or ord(c) < 32 else c for c in name)
-
-    def plain_folder(name):
-        from urllib.parse import unquote
-
-        return unquote(name[len("table="):]) if name.startswith("table=") else name
-
-    return opened, partition_folder, plain_folder
-
-
 def _spread(files: DataFrame, count: int | None) -> DataFrame:
     """A file listing at about twenty files per task; only names are shuffled."""
     if count is None:
@@ -109,7 +79,7 @@ def copy_files(files: DataFrame, target: str, count: int | None = None, plain: b
     happens when it is counted or written.
     """
     goal = storage.qualified(files.sparkSession, target)
-    opened, partition_folder, plain_folder = _file_tools()
+    opened, partition_folder, plain_folder = file_tools()
     folder_for = plain_folder if plain else partition_folder
 
     def copy(batches):
@@ -140,7 +110,7 @@ def name_files(files: DataFrame, target: str, count: int | None = None, work: st
     reading no more than the first document of a file. A repeated attempt passes over what is already renamed.
     """
     goal = storage.qualified(files.sparkSession, target)
-    opened, _, plain_folder = _file_tools()
+    opened, _, plain_folder = file_tools()
 
     def rename(batches):
         import hashlib
@@ -164,7 +134,10 @@ def name_files(files: DataFrame, target: str, count: int | None = None, work: st
                 key = json.loads(head.split(b"\n", 1)[0])["~id"]
                 plain = plain_folder(folder)
                 sink.create_dir(f"{base}/{plain}", recursive=True)
-                sink.move(source, f"{base}/{plain}/{plain}-{hashlib.md5(key.encode('utf-8')).hexdigest()}.gz")
+                named = f"{base}/{plain}/{plain}-{hashlib.md5(key.encode('utf-8')).hexdigest()}.gz"
+                if sink.get_file_info(named).type != fs.FileType.NotFound:
+                    raise ValueError(f"two files of the snapshot would be named {named}; do two tables share its folder?")
+                sink.move(source, named)
             yield batch[["table", "folder"]]
 
     def remove(batches):

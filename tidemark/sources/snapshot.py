@@ -5,6 +5,7 @@ The table directory is the encoded table name, plain or as ``table=<name>``; bot
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
@@ -13,7 +14,9 @@ from tidemark.functions.metadata import METADATA_COLUMNS, require_complete, with
 from tidemark.functions.naming import decode_table_name, encoded_table_of_path, file_name_of, in_table_folder
 from tidemark.operators.table_set import TableSet
 from tidemark.schema import POINTER_FILE
+from tidemark.session import scratch_path
 from tidemark.sources import storage
+from tidemark.sources.whole_files import copy_renamed
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str:
@@ -21,10 +24,10 @@ def latest_snapshot(spark: SparkSession, root: str) -> str:
     path = f"{root.rstrip('/')}/{POINTER_FILE}"
     if not storage.exists(spark, path):
         raise FileNotFoundError(f"no previous snapshot available: {path} does not exist")
-    lines = storage.read_head(spark, path).splitlines()
-    if not lines or not lines[0].strip():
+    name = storage.first_line(spark, path).strip()
+    if not name:
         raise ValueError(f"no previous snapshot available: {path} is empty")
-    return lines[0].strip()
+    return name
 
 
 def _path_column():
@@ -38,13 +41,48 @@ def _named(df: DataFrame, tables: TableSet | None) -> DataFrame:
     return tables.keep_folders(df)
 
 
+# Folders that unfinished Spark writes leave; no tables.
+_UNFINISHED = ("_temporary", ".spark-staging", "_spark_metadata")
+
+
+def _is_hidden(name: str) -> bool:
+    return name.startswith(("_", "."))
+
+
 class Snapshot:
-    """One snapshot. Its files are listed once per kind of use, whatever number of frames are derived."""
+    """One snapshot. Its files are listed once per kind of use, whatever number of frames are derived.
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
+    Spark's readers pass over folders and files whose names start with ``_`` or ``.``, which table names may. Such
+    tables are copied once to readable names, below ``work`` or a scratch folder of its own, and read from there.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, work: str | None = None):
         self.spark = spark
         self.name = name
         self.path = storage.qualified(spark, f"{root.rstrip('/')}/{name}")
+        self._work = work
+
+    @cached_property
+    def _paths(self) -> list[str]:
+        """The snapshot's folder and, if it has hidden tables, the folder of their readable copies."""
+        tables = [
+            (name, uri)
+            for name, uri, is_folder, _ in storage.entries(self.spark, self.path)
+            if is_folder and _is_hidden(name) and not name.startswith(_UNFINISHED)
+        ]
+        rows = []
+        for folder, uri in tables:
+            for file, path, is_folder, _ in storage.entries(self.spark, uri):
+                # a file is named after its table; other hidden files are checksums and leftovers
+                if not is_folder and (file.startswith(f"{folder}-") or not _is_hidden(file)) and not file.endswith(".crc"):
+                    rows.append((folder, path, f"f{file}" if _is_hidden(file) else file))
+        if not rows:
+            return [self.path]
+        work = self._work or scratch_path(self.spark, "hidden")
+        goal = storage.qualified(self.spark, f"{work}/readable-{uuid.uuid4().hex}/{self.name}")
+        listed = self.spark.createDataFrame(rows, "folder string, path string, file string")
+        copy_renamed(listed, goal).count()
+        return [self.path, goal]
 
     @cached_property
     def exists(self) -> bool:
@@ -52,11 +90,11 @@ class Snapshot:
 
     @cached_property
     def _text(self) -> DataFrame:
-        return self.spark.read.option("recursiveFileLookup", "true").text(self.path)
+        return self.spark.read.option("recursiveFileLookup", "true").text(self._paths)
 
     @cached_property
     def _listing(self) -> DataFrame:
-        return self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.path)
+        return self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self._paths)
 
     def files(self, tables: TableSet | None = None) -> DataFrame:
         """``table, file, path, bytes`` of every file. A listing only: no file is opened."""
@@ -98,8 +136,10 @@ class Snapshot:
         return with_keys(self.lines(tables, position), strict)
 
 
-def snapshot_files(spark: SparkSession, root: str, name: str, tables: TableSet | None = None) -> DataFrame:
-    return Snapshot(spark, root, name).files(tables)
+def snapshot_files(
+    spark: SparkSession, root: str, name: str, tables: TableSet | None = None, work: str | None = None
+) -> DataFrame:
+    return Snapshot(spark, root, name, work).files(tables)
 
 
 def scan_snapshot_lines(

@@ -27,18 +27,23 @@ def qualified(spark: SparkSession, path: str) -> str:
     return file_system(spark, path).makeQualified(hadoop_path(spark, path)).toUri().toString().rstrip("/")
 
 
-def read_head(spark: SparkSession, path: str, limit: int = 2048) -> str:
-    """First bytes of a small text file."""
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, without its end; empty if there is none."""
     stream = file_system(spark, path).open(hadoop_path(spark, path))
+    jvm = spark._jvm
     try:
-        raw = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(
-            spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, limit)
-        )
-        return bytes(raw).decode("utf-8")
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
     finally:
         stream.close()
 
 
+def entries(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]]:
+    """``(name, uri, is folder, bytes)`` of what lies directly in a folder, hidden names included."""
+    found = file_system(spark, path).listStatus(hadoop_path(spark, path))
+    return [(x.getPath().getName(), x.getPath().toUri().toString(), x.isDirectory(), x.getLen()) for x in found]
+
+
 def write_small(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file in one step: write beside it, then rename over it."""
     jvm = spark._jvm

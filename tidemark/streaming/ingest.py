@@ -13,12 +13,12 @@ from tidemark.sources.change_log import filter_events
 from tidemark.streaming.events import parse_events
 
 
-def change_rows(events: DataFrame, encoding: str = "TEXT") -> DataFrame:
+def change_rows(events: DataFrame) -> DataFrame:
     """Newest change per document of one batch, as change-log rows. ``events`` carries ``pollDate``.
 
     The same function serves a micro-batch and a plain frame.
     """
-    return newest_per_document(to_change_rows(events, encoding))
+    return newest_per_document(to_change_rows(events))
 
 
 def ingest_changes(
@@ -26,7 +26,6 @@ def ingest_changes(
     path: str,
     checkpoint: str,
     condition: str | None = None,
-    encoding: str = "TEXT",
     partitions: int = BATCH_PARTITIONS,
     interval: str | None = BATCH_INTERVAL,
     on_invalid: str = "fail",
@@ -43,7 +42,7 @@ def ingest_changes(
     started = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = change_rows(batch, encoding)
+        rows = change_rows(batch)
         if not started:
             rows = without_logged(rows, path)
         append_change_log(rows, path, partitions)

@@ -116,7 +116,7 @@ ORACLES = {
     "split_unchanged": _sql(f"SELECT p.tbl, p.k, p.value FROM prior p WHERE {_NOT_CHANGED}"),
     "unchanged_documents": _sql(f"SELECT p.tbl, p.k, p.value FROM prior p WHERE {_NOT_CHANGED}"),
     "changes_of_live_tables": _sql("SELECT tbl, k, uid FROM win WHERE tbl IN (SELECT tbl FROM live)"),
-    "fetch_by_location": _SHARD_LINES,
+    "fetch_by_location": f"SELECT * FROM ({_SHARD_LINES}) WHERE line % 7 = 0",
     "merge_counts": _sql(
         f"""SELECT (SELECT count(*) FROM latest) AS changed,
               (SELECT count(*) FROM prior p WHERE {_NOT_CHANGED}) AS carried"""
@@ -181,5 +181,16 @@ ORACLES = {
         f"SELECT tbl, k, version, last_ts, deleted, CASE WHEN NOT deleted THEN props END AS body FROM {_NEWEST}"
     ),
     "union_streams": _sql(f"SELECT tbl, k, version, props AS body FROM {_NEWEST} WHERE tbl <> 't1' AND NOT deleted"),
-    "stream_dedup": _sql(f"SELECT tbl, k, version, last_ts, deleted, poll_date FROM {_NEWEST}"),
+    "stream_dedup": _sql(f"SELECT tbl, k, version, last_ts, deleted FROM {_NEWEST}"),
+    "stream_replay": _sql(f"SELECT tbl, k, version, last_ts, CAST(1 AS BIGINT) AS times FROM {_NEWEST}"),
+    "bad_pages": """SELECT true AS readable, 'e' || event_id AS name FROM events WHERE (event_id // 50) % 10 <> 0
+        UNION ALL SELECT DISTINCT false AS readable, 'page ' || (event_id // 50) AS name FROM events WHERE (event_id // 50) % 10 = 0""",
+    "generate_new_tables": _sql(
+        """SELECT tbl, k, props AS body FROM latest WHERE NOT deleted
+           UNION ALL
+           SELECT 'nation:' || s_nationkey AS tbl, CAST(s_suppkey AS VARCHAR) AS k, s_name AS body FROM supplier"""
+    ),
+    "generate_hidden_names": """SELECT CASE WHEN c_custkey % 3 = 0 THEN '.' || (c_custkey % 6) ELSE '__system:' || (c_custkey % 4) END AS tbl,
+        CAST(c_custkey AS VARCHAR) AS k,
+        CASE WHEN c_custkey % 5 = 0 THEN replace(c_name, 'Customer', 'Changed') ELSE c_name END AS body FROM customer""",
 }

@@ -9,7 +9,6 @@ from tidemark.operators import combine, newest, ordering, tables
 from tidemark.operators.table_set import TableSet
 from tidemark.plans.generate import generate_snapshot
 from tidemark.plans.merge import merge_snapshot
-from tidemark.schema import LZ4
 from tidemark.session import scratch_path
 from tidemark.sinks.change_log import append_change_log, to_change_rows
 from tidemark.sinks.snapshot import copy_files, publish_snapshot, write_snapshot
@@ -22,10 +21,10 @@ from tidemark.sources.snapshot import (
     scan_snapshot_lines,
     snapshot_files,
 )
-from tidemark.streaming.events import landed_events, parse_envelopes, parse_events, union_streams
-from tidemark.streaming.ingest import change_rows, ingest_changes
+from tidemark.streaming.events import landed_events, parse_envelopes, union_streams
+from tidemark.streaming.ingest import ingest_changes
 from workload import views
-from workload.views import DAYS, NEW_TIME, PRIOR_NAME, table
+from workload.views import DAYS, NEW_TIME, NEXT_TIME, PRIOR_NAME, table
 
 _SHORT = {
     "table": "tbl", "key": "k", "updateId": "uid", "lastUpdateTs": "last_ts", "pollDate": "poll_date",
@@ -238,7 +237,8 @@ def of_live(spark, sf):
 
 def fetch(spark, sf):
     lines = number_lines(scan_snapshot_lines(spark, views.shards(spark, sf), PRIOR_NAME))
-    places = lines.select("table", "file", "line")
+    # every seventh line of each file is asked for, by its position
+    places = lines.where(F.col("line") % 7 == 0).select("table", "file", "line")
     return short(combine.fetch_by_location(lines, places), "table", "line", "value")
 
 
@@ -295,8 +295,29 @@ def generated(spark, sf, **options):
 
 
 def generated_by_shuffle(spark, sf):
-    """The way taken when the changed keys are too many to broadcast."""
-    return generated(spark, sf, broadcast_key_bytes=0)
+    """The key filter is kept far too small, so nearly every prior document takes the exact way through a shuffle."""
+    return generated(spark, sf, filter_bytes=4096, regroup=True)
+
+
+def generated_new(spark, sf):
+    """Every changed table is new: the prior snapshot holds other tables only."""
+    out = scratch_path(spark, "root")
+    live = views.live(spark, sf).union(views.supplier_documents(spark, sf).select("table").distinct())
+    generate_snapshot(spark, views.supplier_root(spark, sf), views.document_log(spark, sf), live, NEW_TIME, output_root=out)
+    found = scan_snapshot_keys(spark, out, latest_snapshot(spark, out), position=False)
+    return short(found.select("table", "key", F.get_json_object("value", "$.body").alias("body")))
+
+
+def generated_hidden(spark, sf):
+    """Tables whose folders Spark's readers pass over, in the plain layout, carried through two runs."""
+    out, root = scratch_path(spark, "root"), views.hidden_root(spark, sf)
+    live = views.hidden_documents(spark, sf).select("table").distinct()
+    log = views.hidden_log(spark, sf)
+    for when in (NEW_TIME, NEXT_TIME):
+        generate_snapshot(spark, root, log, live, when, output_root=out, plain_names=True)
+        root = out
+    found = scan_snapshot_keys(spark, out, latest_snapshot(spark, out), position=False)
+    return short(found.select("table", "key", F.get_json_object("value", "$.body").alias("body")))
 
 
 def generated_all(spark, sf):
@@ -437,15 +458,9 @@ def text_payload(spark, sf):
 
 
 def decode_payloads(spark, sf):
-    """A log of both encodings, back to text."""
-    mixed = table(spark, sf, "documents").select(
-        "doc_id",
-        (F.col("doc_id") % 2).cast("int").alias("encoding"),
-        F.when(F.col("doc_id") % 2 == LZ4, payload.text_to_lz4(F.col("text")))
-        .otherwise(payload.text_to_bytes(F.col("text")))
-        .alias("content"),
-    )
-    return mixed.select("doc_id", F.md5(payload.decode_payload(F.col("encoding"), F.col("content"))).alias("text_md5"))
+    """Payloads back to text, by their encoding code."""
+    packed = table(spark, sf, "documents").select("doc_id", F.lit(0).alias("encoding"), payload.text_to_bytes(F.col("text")).alias("content"))
+    return packed.select("doc_id", F.md5(payload.decode_payload(F.col("encoding"), F.col("content"))).alias("text_md5"))
 
 
 def envelopes(spark, sf):
@@ -469,14 +484,14 @@ def stream_ingest(spark, sf):
 
 
 def stream_condition(spark, sf):
-    """Two streams, a condition, LZ4 payloads; compacted afterwards by the newest pick."""
+    """Two streams and a condition; compacted afterwards by the newest pick."""
     log = scratch_path(spark, "log")
     both = [
         landed_events(spark, views.landing(spark, sf), files_per_batch=2).where(F.length("value") % 2 == half)
         for half in (0, 1)
     ]
     query = ingest_changes(
-        union_streams(*both), log, scratch_path(spark, "checkpoint"), condition="`table` <> 't1'", encoding="LZ4", interval=None
+        union_streams(*both), log, scratch_path(spark, "checkpoint"), condition="`table` <> 't1'", interval=None
     )
     query.awaitTermination()
     picked = newest.drop_tombstones(newest.newest_per_document(read_change_log(spark, log)))
@@ -485,10 +500,30 @@ def stream_condition(spark, sf):
 
 
 def stream_dedup(spark, sf):
-    """The batch twin of the stream's per-batch pick."""
-    events = parse_events(spark.read.text(views.landing(spark, sf)))
-    rows = change_rows(events.withColumn("pollDate", dates.poll_date(F.timestamp_millis(F.col("lastUpdateTs")))))
-    return short(rows, "table", "key", "version", "lastUpdateTs", "deleted", "pollDate")
+    """Several micro-batches, each leaving its newest change per document; the newest of those are those of all events."""
+    log = scratch_path(spark, "log")
+    events = landed_events(spark, views.landing(spark, sf), files_per_batch=1)
+    ingest_changes(events, log, scratch_path(spark, "checkpoint"), interval=None).awaitTermination()
+    rows = newest.newest_per_document(read_change_log(spark, log))
+    return short(rows, "table", "key", "version", "lastUpdateTs", "deleted")
+
+
+def stream_replay(spark, sf):
+    """The whole input is delivered again, as after a crash between write and checkpoint: each change is logged once."""
+    log = scratch_path(spark, "log")
+    for checkpoint in ("lost", "kept"):
+        events = landed_events(spark, views.landing(spark, sf))
+        ingest_changes(events, log, scratch_path(spark, checkpoint), interval=None).awaitTermination()
+    rows = read_change_log(spark, log)
+    return short(rows.groupBy("table", "key", "version", "lastUpdateTs").agg(F.count(F.lit(1)).alias("times")))
+
+
+def bad_pages(spark, sf):
+    """Every tenth page is cut short; the pages that cannot be read are kept as they came."""
+    events = parse_envelopes(spark.read.text(views.bad_landing(spark, sf)), on_invalid="keep")
+    readable = F.col("eventKey").isNotNull()
+    page = F.concat(F.lit("page "), F.floor(F.regexp_extract("value", views.FIRST_EVENT, 1).cast("long") / 50).cast("string"))
+    return events.select(readable.alias("readable"), F.coalesce("eventKey", page).alias("name"))
 
 
 QUERIES = {
@@ -531,6 +566,8 @@ QUERIES = {
     "merge_repeated_prior": merged_repeats,
     "generate_snapshot": generated,
     "generate_snapshot_by_shuffle": generated_by_shuffle,
+    "generate_new_tables": generated_new,
+    "generate_hidden_names": generated_hidden,
     "generate_snapshot_all_live": generated_all,
     "generate_snapshot_plain_names": generated_plain,
     "dedup_batch": dedup_batch,
@@ -559,4 +596,6 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "union_streams": stream_condition,
     "stream_dedup": stream_dedup,
+    "stream_replay": stream_replay,
+    "bad_pages": bad_pages,
 }

@@ -11,10 +11,12 @@ from tidemark.functions.dates import window_days
 from tidemark.functions.metadata import with_metadata
 from tidemark.session import scratch_path
 from tidemark.sinks.change_log import append_change_log, to_change_rows
-from tidemark.sinks.snapshot import publish_snapshot, write_snapshot
+from tidemark.sinks.snapshot import name_files, publish_snapshot, write_snapshot
+from tidemark.sources.snapshot import snapshot_files
 
 PRIOR_TIME = datetime(2024, 1, 10, 6)
 NEW_TIME = datetime(2024, 1, 20)
+NEXT_TIME = datetime(2024, 1, 25)
 PRIOR_NAME = "2024-01-10-06-00-00"
 DAYS = window_days(PRIOR_TIME, NEW_TIME)
 
@@ -221,6 +223,72 @@ def document_log(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, _document_log)
 
 
+def _supplier_root(spark, sf_dir, path):
+    write_snapshot(supplier_documents(spark, sf_dir), f"{path}/{PRIOR_NAME}")
+    publish_snapshot(spark, path, PRIOR_NAME)
+
+
+def supplier_root(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a published snapshot that holds none of the changed tables."""
+    return _once(spark, sf_dir, _supplier_root)
+
+
+def hidden_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer documents in tables named ``__system:n`` and ``.n``."""
+    name = "CASE WHEN c_custkey % 3 = 0 THEN concat('.', c_custkey % 6) ELSE concat('__system:', c_custkey % 4) END"
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"{name} AS `table`",
+        "string(c_custkey) AS key",
+        f"""to_json(named_struct(
+             '~deleted', false,
+             '~id', string(c_custkey),
+             '~lastUpdateAt', '2023-12-31T00:00:00.000Z',
+             '~table', {name},
+             '~version', 1,
+             'body', c_name)) AS value""",
+    )
+
+
+def _hidden_root(spark, sf_dir, path):
+    target = f"{path}/{PRIOR_NAME}"
+    write_snapshot(hidden_documents(spark, sf_dir), target)
+    name_files(snapshot_files(spark, path, PRIOR_NAME), target)
+    publish_snapshot(spark, path, PRIOR_NAME)
+
+
+def hidden_root(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a published snapshot of those documents, in the plain layout."""
+    return _once(spark, sf_dir, _hidden_root)
+
+
+def _hidden_log(spark, sf_dir, path):
+    changed = with_metadata(
+        hidden_documents(spark, sf_dir).where("key % 5 = 0").selectExpr(
+            "replace(replace(value, '2023-12-31', '2024-01-15'), 'Customer', 'Changed') AS value"
+        )
+    )
+    append_change_log(to_change_rows(changed, received=F.timestamp_millis(F.col("lastUpdateTs"))), path)
+
+
+def hidden_log(spark: SparkSession, sf_dir: str) -> str:
+    """A change of every fifth of those documents, in the first run's window."""
+    return _once(spark, sf_dir, _hidden_log)
+
+
+FIRST_EVENT = r'"eventKey":"e(\d+)"'
+
+
+def _bad_landing(spark, sf_dir, path):
+    pages = spark.read.text(landing(spark, sf_dir))
+    first = F.regexp_extract("value", FIRST_EVENT, 1).cast("long")
+    pages.select(F.when(first % 500 < 50, F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value")).alias("value")).write.text(path)
+
+
+def bad_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The landed pages, every tenth without its closing bracket."""
+    return _once(spark, sf_dir, _bad_landing)
+
+
 # The same views for the reference SQL.
 SQL_VIEWS = """
 changes AS (
