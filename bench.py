@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -55,6 +56,7 @@ def main() -> None:
             "spark.driver.memory": "12g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='tidemark-bench-')}",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,10 +8,12 @@ from support import change, document, write_file, write_log
 
 from tidemark.operators import combine, newest, ordering, tables
 from tidemark.operators.table_set import TableSet
+from tidemark.operators.key_filter import KeyFilter
+from tidemark.plans.generate import _carried
 from tidemark.plans.merge import merge_snapshot
 from tidemark.session import stage
 from tidemark.sources.change_log import read_change_log, window_changes
-from tidemark.sources.snapshot import scan_snapshot_keys, scan_snapshot_lines, snapshot_files
+from tidemark.sources.snapshot import Snapshot, scan_snapshot_keys, scan_snapshot_lines, snapshot_files
 
 NAME = "2018-01-07-00-00-00"
 
@@ -157,3 +159,35 @@ def test_one_key_with_most_rows_reaches_the_shuffle_once_per_task(spark):
     assert written == cold + 8
 
 
+def test_key_filter_never_misses_and_seldom_errs(spark):
+    keys = spark.range(20_000).selectExpr("string(id % 7) `table`", "string(id) key")
+    known = KeyFilter(keys, ["table", "key"])
+    assert keys.where(~known.maybe()).count() == 0
+    others = spark.range(20_000, 60_000).selectExpr("string(id % 7) `table`", "string(id) key")
+    assert others.where(known.maybe()).count() < 400
+    crowded = KeyFilter(keys, ["table", "key"], max_bytes=1)
+    assert keys.where(~crowded.maybe()).count() == 0 and crowded.bits == 1 << 15
+    assert others.where(KeyFilter(keys.where("false"), ["table", "key"]).maybe()).count() == 0
+
+
+def test_carried_documents_that_cannot_be_concerned_meet_no_exchange(spark, tmp_path):
+    for t in "ab":
+        write_file(tmp_path, NAME, t, "f.json", [document(t, f"k{i}") for i in range(30)])
+    prior = Snapshot(spark, str(tmp_path), NAME)
+    ids = spark.createDataFrame([("a", "k1"), ("b", "k9")], "`table` string, key string")
+    carried = _carried(prior, TableSet.of(live(spark, "a", "b")), ids, str(tmp_path / "work"), True, False, 1 << 20)
+    assert carried.count() == 58
+    known = KeyFilter(ids, ["table", "key"])
+    assert exchanges(plan(prior.documents(TableSet.of(live(spark, "a", "b")), position=False).where(~known.maybe()))) == 0
+
+
+def test_changes_that_lost_stay_in_their_scan(spark):
+    """Of a log with a hundred versions per document, about one row each goes into the shuffle."""
+    log = spark.range(0, 20_000, 1, 4).selectExpr(
+        "string(id) updateId", "'t' `table`", "string(id % 200) key", "id version", "0L lastUpdateTs", "false deleted",
+        "0 encoding", "binary(repeat('x', 200)) content", "'20180107' pollDate",
+    )
+    ids = newest.latest_change_ids(log)
+    picked = KeyFilter(ids, newest.PAYLOAD_KEY)
+    assert 200 <= log.where(picked.maybe()).count() < 300
+    assert newest.change_payloads(log.where(picked.maybe()), ids).count() == 200

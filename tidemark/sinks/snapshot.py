@@ -12,6 +12,10 @@ from tidemark.sources import storage
 from tidemark.sources.whole_files import file_tools
 
 
+# Large files are spread over more tasks than their number asks for.
+BYTES_PER_COPY_TASK = 512 * 1024 * 1024
+
+
 def group_into_files(documents: DataFrame, plan: DataFrame) -> DataFrame:
     """Bring the documents of each output file together: one shuffle by ``(table, file number)``.
 
@@ -63,11 +67,10 @@ def write_snapshot(
 
 
 def _spread(files: DataFrame, count: int | None) -> DataFrame:
-    """A file listing at about twenty files per task; only names are shuffled."""
-    if count is None:
-        count = files.count()
-    listed = files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder"))
-    return listed.repartition(max(1, -(-count // FILES_PER_COPY_TASK)))
+    """A file listing at about twenty files or :data:`BYTES_PER_COPY_TASK` per task; only names are shuffled."""
+    total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, -(-(count or total[0]) // FILES_PER_COPY_TASK), -(-total[1] // BYTES_PER_COPY_TASK))
+    return files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder")).repartition(tasks)
 
 
 def copy_files(files: DataFrame, target: str, count: int | None = None, plain: bool = False) -> DataFrame:
