@@ -157,17 +157,17 @@ def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int
     return model
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", per_class: int = 2000, ordinary_per_toxic: int = 2, text_bytes: int = 1 << 16) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", per_class: int = 2000, ordinary_per_toxic: int = 2, text_bytes: int = 1 << 14) -> ToxicityModel:
     """Learn from at most ``per_class`` toxic and ``ordinary_per_toxic`` times as many ordinary labelled documents, of each at most ``text_bytes``.
 
     Labels other than 0 and 1, labels of no document and documents without a label are not learned from; a document with both labels is toxic.
     If either class is empty, the model scores 0.
     """
     known = labels.select(F.col(doc_id).alias("id"), F.col(toxic).alias("label")).where("label in (0, 1)")
-    counts = {row["label"]: row["n"] for row in known.groupBy("id").agg(F.max("label").alias("label")).groupBy("label").agg(F.count("*").alias("n")).collect()}
-    chosen = sample_by_class(known, per_class * ordinary_per_toxic)
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    counts = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = sample_by_class(known.where("label = 1"), per_class).union(sample_by_class(known.where("label = 0"), per_class * ordinary_per_toxic))
     rows = docs.select(F.col(doc_id).alias("id"), F.substring(arrays.utf8(text), 1, text_bytes).alias("text")).where("length(text) > 0")
     picked = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").collect()
     texts = [[bytes(row["text"]) for row in picked if row["label"] == label] for label in (1, 0)]
-    texts[0] = texts[0][:per_class]
     return fit(*texts, toxic_share=min(0.9, max(0.01, counts.get(1, 0) / max(1, sum(counts.values())))))
