@@ -14,7 +14,7 @@ from tidemark.functions.metadata import METADATA_COLUMNS, require_complete, with
 from tidemark.functions.naming import decode_table_name, encoded_table_of_path, file_name_of, in_table_folder
 from tidemark.operators.table_set import TableSet
 from tidemark.schema import POINTER_FILE
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage
 from tidemark.sources import storage
 from tidemark.sources.whole_files import copy_renamed
 
@@ -170,22 +170,26 @@ def with_keys(lines: DataFrame, strict: bool = True) -> DataFrame:
     return parsed.select(F.col("_directory").alias("table"), "key", *[c for c in lines.columns if c != "table"])
 
 
+# A row per split, with overhead; up to so many of them the shifts are broadcast.
+_BROADCAST_SPLITS = 200_000
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Replace ``block, seq`` by the 1-based line number within the file, blank lines not counted.
 
-    Numbers restart in every split and are then shifted by the lines of the file's earlier splits, so that a
-    huge splittable file is never numbered by one task. The shift table has one row per split.
+    ``seq`` runs on within a split, so a line's number is its distance from the split's first plus the lines of the
+    file's earlier splits. Both are found at once by a pass over the position columns; the text itself is numbered where
+    it is read. Only with very many splits are lines shuffled, by split.
     """
     split = ["table", "file", "block"]
-    counts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"))
+    counts = stage(lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"), F.min("seq").alias("_first")), "splits")
     earlier = Window.partitionBy("table", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
-    within = Window.partitionBy(*split)
-    numbered = lines.withColumns(
-        {"_line": F.row_number().over(within.orderBy("seq")), "_here": F.count(F.lit(1)).over(within)}
-    ).join(shifts, split, "left")
+    if counts.count() <= _BROADCAST_SPLITS:
+        shifts = F.broadcast(shifts)
+    numbered = lines.join(shifts, split, "left").withColumn("_at", F.col("seq") - F.col("_first"))
     # the files are read twice; should Spark have cut them differently the second time, fail rather than misnumber
-    line = F.when(F.col("_here") == F.col("_lines"), (F.col("_before") + F.col("_line")).cast("int")).otherwise(
+    line = F.when((F.col("_at") >= 0) & (F.col("_at") < F.col("_lines")), (F.col("_before") + F.col("_at") + 1).cast("int")).otherwise(
         F.raise_error(F.lit("file splits changed while lines were numbered; run again"))
     )
-    return numbered.withColumn("line", line).drop("block", "seq", "_lines", "_line", "_before", "_here")
+    return numbered.withColumn("line", line).drop("block", "seq", "_lines", "_first", "_before", "_at")
