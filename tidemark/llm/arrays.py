@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 _CHUNK = 256 << 10
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}

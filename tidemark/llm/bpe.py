@@ -43,20 +43,20 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     words, buckets, shift, low_bits, top = queue.words, queue.buckets, queue.shift, (1 << queue.shift) - 1, 0
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
-    pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
-    fresh = [(rank, i) for i, rank in enumerate(pair) if rank >= 0]
-    pair.append(-1)
-    while fresh or top:
+    pair = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
+    fresh = [(rank, i) for i, rank in enumerate(pair) if rank is not None]
+    pair.append(None)
+    while True:
         for rank, i in fresh:
-            bucket = buckets.get(rank)
-            if bucket is None:
+            if rank in buckets:
+                heappush(buckets[rank], i)
+            else:
                 buckets[rank] = [i]
                 word = rank >> shift
                 words[word] |= 1 << (rank & low_bits)
                 top |= 1 << word
-            else:
-                heappush(bucket, i)
-        fresh = []
+        if not top:
+            break
         # first set bit of either level
         first = top & -top
         word = first.bit_length() - 1
@@ -73,22 +73,23 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             if bits == bit:
                 top ^= first
         if pair[i] != rank:  # stale
+            fresh = ()
             continue
         gone = after[i]
         end = after[i] = after[gone]
-        pair[gone] = -1
+        pair[gone] = right = None
         if end < n:
             before[end] = i
-            pair[i] = rank = rank_of(piece[i : after[end]], -1)
-            if rank >= 0:
-                fresh.append((rank, i))
+            right = rank_of(piece[i : after[end]])
+        pair[i] = right
+        place = before[i]
+        left = None
+        if place >= 0:
+            left = pair[place] = rank_of(piece[place:end])
+        if right is None:
+            fresh = () if left is None else ((left, place),)
         else:
-            pair[i] = -1
-        left = before[i]
-        if left >= 0:
-            pair[left] = rank = rank_of(piece[left:end], -1)
-            if rank >= 0:
-                fresh.append((rank, left))
+            fresh = ((right, i),) if left is None else ((left, place), (right, i))
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])

@@ -13,20 +13,22 @@ SPACED_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]
 _CUT = re.compile(r" (?=\S)(?<=\S )")
 _SEGMENT = 1 << 18
 _LONGEST_KEY = 100
+_MARKS = ".,"
 
 
 class Memo(dict):
-    """``memo[key]`` is ``make(key)``, remembered. Two generations of at most ``limit`` keys; long keys are not kept."""
+    """``memo[key]`` is ``make(key)``, remembered. Two generations of at most ``limit`` keys; long keys are not kept,
+    nor those that end in one of ``passing``."""
 
-    def __init__(self, make: Callable, limit: int = 350_000):
+    def __init__(self, make: Callable, limit: int = 250_000, passing: str = ""):
         super().__init__()
-        self._make, self._limit, self._older = make, limit, {}
+        self._make, self._limit, self._older, self._passing = make, limit, {}, frozenset(passing)
 
     def __missing__(self, key):
         found = self._older.get(key)
         if found is None:
             found = self._make(key)
-        if len(key) <= _LONGEST_KEY:
+        if len(key) <= _LONGEST_KEY and key[-1:] not in self._passing:
             if len(self) >= self._limit:
                 self._older = dict(self)
                 self.clear()
@@ -65,14 +67,23 @@ class Pretokenizer:
     """Sums ``value(pre-token)`` over texts, through :class:`Memo` on the chunks and on the pre-tokens."""
 
     def __init__(self, pattern: str, value: Callable, add: Callable):
-        self._find, self._add = regex.compile(pattern).findall, add
+        self._find, self._add, self._value = regex.compile(pattern).findall, add, value
+        self._letters = regex.compile(r"\p{L}+").fullmatch
         self._values = Memo(value)
-        self._spaced = Memo(lambda part: self._whole(" " + part))
+        self._spaced = Memo(self._of_part, passing=_MARKS)
         self._cuttable = pattern == SPACED_PATTERN
 
     def _whole(self, text: str):
         return self._add(map(self._values.__getitem__, self._find(text)))
 
+    def _of_part(self, part: str):
+        """A space and ``part``. Letters alone are one pre-token; a mark after letters is another."""
+        if self._letters(part):
+            return self._value(" " + part)
+        if part[-1:] in _MARKS and self._letters(part, 0, len(part) - 1):
+            return self._add((self._spaced[part[:-1]], self._values[part[-1:]]))
+        return self._whole(" " + part)
+
     def of(self, text: str):
         if not self._cuttable:
             return self._whole(text)
