@@ -135,7 +135,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e
     return weights
 
 
-def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int = 400) -> ToxicityModel:
+def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int = 100) -> ToxicityModel:
     """Train dictionaries and calibration. ``toxic_share`` is the share of toxic texts among all labelled ones."""
     if not toxic or not ordinary:
         return ToxicityModel(b"", b"", b"")
