@@ -26,7 +26,7 @@ from tidemark.session import stage
 
 BLOCK_BYTES = 16 << 20
 SHARD_WORDS = 1 << 20
-_ROWS_BYTES = 6 << 20
+_ROWS_BYTES = 3 << 20
 
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()),
