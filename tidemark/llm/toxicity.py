@@ -33,9 +33,9 @@ _EDGES = b".,;:!?()\"'"
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Distinct words in order: ASCII letters lower-cased, marks at the ends taken off."""
+    """All words in order, repeated ones each time: ASCII letters lower-cased, marks at the ends taken off."""
     stripped = (word.strip(_EDGES) for word in text.translate(arrays.ASCII_LOWER).split())
-    return [word for word in dict.fromkeys(stripped) if word]
+    return [word for word in stripped if word]
 
 
 def windows_of(words: list[bytes]) -> list[bytes]:
@@ -115,7 +115,7 @@ class ToxicityModel:
 
 def _telling(toxic: list[list[bytes]], ordinary: list[list[bytes]], keep: int) -> tuple[set[bytes], set[bytes]]:
     """The words that most set toxic texts apart, and those that most set ordinary ones apart, by the z value of their document shares."""
-    a, b = (Counter(word for text in texts for word in text if len(word) >= 3) for texts in (toxic, ordinary))
+    a, b = (Counter(word for text in texts for word in set(text) if len(word) >= 3) for texts in (toxic, ordinary))
     m, n = len(toxic), len(ordinary)
 
     def z(word: bytes) -> float:
@@ -141,7 +141,7 @@ def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int
         return ToxicityModel(b"", b"", b"")
     said = [[words_of(text) for text in texts] for texts in (toxic, ordinary)]
     marks = _telling(*said, keep)
-    telling = [[b" " + b" ".join(word for word in words if word in mark) + b" " for words in texts] for texts, mark in zip(said, marks)]
+    telling = [[b" " + b" ".join(word for word in dict.fromkeys(words) if word in mark) + b" " for words in texts] for texts, mark in zip(said, marks)]
     common = [b" " + b" ".join(words[k : k + 32]) + b" " for words in said[1] for k in range(0, len(words), 32)]
     plain = telling[1] if sum(len(x) > 9 for x in telling[1]) > 50 else common
     model = ToxicityModel(_dictionary(common, BASE_BYTES, 64), _dictionary(telling[0], CLASS_BYTES, 32), _dictionary(plain, CLASS_BYTES, 32))
