@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import arrays
 from tidemark.llm.samples import sample_by_class
+from tidemark.session import stage
 
 WINDOW_WORDS, WINDOW_STEP = 3, 1
 BASE_BYTES, CLASS_BYTES = 32 << 10, 2 << 10
@@ -113,17 +114,45 @@ class ToxicityModel:
         return F.arrow_udf(of_batch, returnType=T.DoubleType())(arrays.utf8(text))
 
 
+def _z(a, b, m: int, n: int, root=math.sqrt):
+    """z value of a word's share of the ``m`` toxic documents (``a``) against that of the ``n`` ordinary ones (``b``); numbers or columns."""
+    share = (a + b + 1) / (m + n + 2)
+    return (a / m - b / n) / root(share * (1 - share) * (1 / m + 1 / n))
+
+
+TOXIC_Z, ORDINARY_Z = 6, -2
+
+
 def _telling(toxic: list[list[bytes]], ordinary: list[list[bytes]], keep: int) -> tuple[set[bytes], set[bytes]]:
     """The words that most set toxic texts apart, and those that most set ordinary ones apart, by the z value of their document shares."""
     a, b = (Counter(word for text in texts for word in set(text) if len(word) >= 3) for texts in (toxic, ordinary))
-    m, n = len(toxic), len(ordinary)
+    ranked = sorted(((_z(a[word], b[word], len(toxic), len(ordinary)), word) for word in a.keys() | b.keys()), reverse=True)
+    return {word for value, word in ranked[:keep] if value >= TOXIC_Z}, {word for value, word in ranked[-keep:] if value <= ORDINARY_Z}
+
+
+def _telling_of(rows: DataFrame, m: int, n: int, keep: int) -> tuple[set[bytes], set[bytes]]:
+    """:func:`_telling` of the whole texts of ``rows``, counted in Spark."""
+
+    def of_batch(texts: pa.Array) -> pa.Array:
+        return pa.array([[word for word in dict.fromkeys(words_of(x.as_py())) if len(word) >= 3] for x in texts], pa.list_(pa.binary()))
 
-    def z(word: bytes) -> float:
-        share = (a[word] + b[word] + 1) / (m + n + 2)
-        return (a[word] / m - b[word] / n) / math.sqrt(share * (1 - share) * (1 / m + 1 / n))
+    words = rows.select("label", F.explode(F.arrow_udf(of_batch, returnType=T.ArrayType(T.BinaryType()))("text")).alias("word"))
+    counts = words.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b"))
+    valued = counts.select("word", _z(F.col("a"), F.col("b"), m, n, F.sqrt).alias("z"))
+    high = valued.where(F.col("z") >= TOXIC_Z).orderBy(F.desc("z"), F.desc("word")).limit(keep).collect()
+    low = valued.where(F.col("z") <= ORDINARY_Z).orderBy("z", "word").limit(keep).collect()
+    return {bytes(row["word"]) for row in high}, {bytes(row["word"]) for row in low}
 
-    ranked = sorted(((z(word), word) for word in a.keys() | b.keys()), reverse=True)
-    return {word for value, word in ranked[:keep] if value >= 6}, {word for value, word in ranked[-keep:] if value <= -2}
+
+PASSAGES, PASSAGE_WORDS = 16, 32
+
+
+def _material(words: list[bytes], mark: set[bytes]) -> tuple[bytes, list[bytes]]:
+    """A text's telling words, and at most :data:`PASSAGES` passages from all over it."""
+    starts = range(0, len(words), PASSAGE_WORDS)
+    chosen = sorted({starts[k * len(starts) // PASSAGES] for k in range(PASSAGES)}) if starts else []
+    common = [b" " + b" ".join(words[k : k + PASSAGE_WORDS]) + b" " for k in chosen]
+    return b" " + b" ".join(word for word in dict.fromkeys(words) if word in mark) + b" ", common
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e-2) -> np.ndarray:
@@ -135,39 +164,71 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, ridge: float = 1e
     return weights
 
 
-def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int = 100) -> ToxicityModel:
-    """Train dictionaries and calibration. ``toxic_share`` is the share of toxic texts among all labelled ones."""
-    if not toxic or not ordinary:
-        return ToxicityModel(b"", b"", b"")
-    said = [[words_of(text) for text in texts] for texts in (toxic, ordinary)]
-    marks = _telling(*said, keep)
-    telling = [[b" " + b" ".join(word for word in dict.fromkeys(words) if word in mark) + b" " for words in texts] for texts, mark in zip(said, marks)]
-    common = [b" " + b" ".join(words[k : k + 32]) + b" " for words in said[1] for k in range(0, len(words), 32)]
-    plain = telling[1] if sum(len(x) > 9 for x in telling[1]) > 50 else common
-    model = ToxicityModel(_dictionary(common, BASE_BYTES, 64), _dictionary(telling[0], CLASS_BYTES, 32), _dictionary(plain, CLASS_BYTES, 32))
+def _dictionaries(toxic: list[bytes], ordinary: list[bytes], common: list[bytes]) -> ToxicityModel:
+    plain = ordinary if sum(len(x) > 9 for x in ordinary) > 50 else common
+    model = ToxicityModel(_dictionary(common, BASE_BYTES, 64), _dictionary(toxic, CLASS_BYTES, 32), _dictionary(plain, CLASS_BYTES, 32))
     size = max(len(model.toxic), len(model.ordinary))  # equal lengths: offsets into the base cost the same
     model.toxic, model.ordinary = model.toxic.rjust(size, b"\0"), model.ordinary.rjust(size, b"\0")
-    features = np.array([model.features(text) for text in toxic + ordinary])
-    labels = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
+    return model
+
+
+def _calibrate(model: ToxicityModel, features: np.ndarray, labels: np.ndarray, toxic_share: float) -> ToxicityModel:
     model.center, model.spread = features.mean(axis=0), features.std(axis=0) + 1e-9
     x = np.c_[(features - model.center) / model.spread, np.ones(len(features))]
     model.weights = _logistic(x, labels)
-    share = len(toxic) / len(labels)
+    share = labels.mean()
     model.weights[-1] += math.log(toxic_share / (1 - toxic_share)) - math.log(share / (1 - share))
     return model
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", per_class: int = 2000, ordinary_per_toxic: int = 2, text_bytes: int = 1 << 14) -> ToxicityModel:
-    """Learn from at most ``per_class`` toxic and ``ordinary_per_toxic`` times as many ordinary labelled documents, of each at most ``text_bytes``.
+def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int = 100) -> ToxicityModel:
+    """Train dictionaries and calibration. ``toxic_share`` is the share of toxic texts among all labelled ones."""
+    if not toxic or not ordinary:
+        return ToxicityModel(b"", b"", b"")
+    said = [[words_of(text) for text in texts] for texts in (toxic, ordinary)]
+    bad, plain = ([_material(words, mark) for words in texts] for texts, mark in zip(said, _telling(*said, keep)))
+    model = _dictionaries([x for x, _ in bad], [x for x, _ in plain], [passage for _, passages in plain for passage in passages])
+    features = np.array([model.features(text) for text in toxic + ordinary])
+    return _calibrate(model, features, np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))], toxic_share)
+
+
+def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", per_class: int = 2000, ordinary_per_toxic: int = 2, keep: int = 100) -> ToxicityModel:
+    """Learn from at most ``per_class`` toxic and ``ordinary_per_toxic`` times as many ordinary labelled documents, of each the whole text.
 
+    Words are counted and features computed in Spark tasks; the driver gets a text's telling words, a few passages and its features.
     Labels other than 0 and 1, labels of no document and documents without a label are not learned from; a document with both labels is toxic.
     If either class is empty, the model scores 0.
     """
+    spark = docs.sparkSession
+    arrays.bound_batches(spark)
     known = labels.select(F.col(doc_id).alias("id"), F.col(toxic).alias("label")).where("label in (0, 1)")
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     counts = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = sample_by_class(known.where("label = 1"), per_class).union(sample_by_class(known.where("label = 0"), per_class * ordinary_per_toxic))
-    rows = docs.select(F.col(doc_id).alias("id"), F.substring(arrays.utf8(text), 1, text_bytes).alias("text")).where("length(text) > 0")
-    picked = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").collect()
-    texts = [[bytes(row["text"]) for row in picked if row["label"] == label] for label in (1, 0)]
-    return fit(*texts, toxic_share=min(0.9, max(0.01, counts.get(1, 0) / max(1, sum(counts.values())))))
+    rows = docs.select(F.col(doc_id).alias("id"), arrays.utf8(text).alias("text")).where("length(text) > 0")
+    picked = stage(rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "labelled")
+    found = {row["label"]: row["n"] for row in picked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    m, n = found.get(1, 0), found.get(0, 0)
+    if not m or not n:
+        return ToxicityModel(b"", b"", b"")
+    marks = spark.sparkContext.broadcast(_telling_of(picked, m, n, keep))
+    kind = T.StructType([T.StructField("telling", T.BinaryType()), T.StructField("common", T.ArrayType(T.BinaryType()))])
+
+    def material(texts: pa.Array, label: pa.Array) -> pa.Array:
+        bad, plain = marks.value
+        made = [_material(words_of(x.as_py()), bad if y.as_py() == 1 else plain) for x, y in zip(texts, label)]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in made], pa.binary()), pa.array([x for _, x in made], pa.list_(pa.binary()))], ["telling", "common"])
+
+    order = F.xxhash64("id"), F.col("id")
+    parts = picked.select("id", "label", F.arrow_udf(material, returnType=kind)("text", F.col("label").cast("long")).alias("m"))
+    parts = parts.select("id", "label", "m.telling", F.when(F.col("label") == 0, F.col("m.common")).alias("common")).orderBy(*order).collect()
+    telling = [[bytes(row["telling"]) for row in parts if row["label"] == label] for label in (1, 0)]
+    model = _dictionaries(*telling, [bytes(x) for row in parts if row["label"] == 0 for x in row["common"]])
+    shared = spark.sparkContext.broadcast(model)
+
+    def features(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.features(x.as_py()).tolist() for x in texts], pa.list_(pa.float64()))
+
+    measured = picked.select("id", "label", F.arrow_udf(features, returnType=T.ArrayType(T.DoubleType()))("text").alias("f")).orderBy(*order).collect()
+    share = min(0.9, max(0.01, counts.get(1, 0) / max(1, sum(counts.values()))))
+    return _calibrate(model, np.array([row["f"] for row in measured]), np.array([float(row["label"]) for row in measured]), share)
