@@ -23,3 +23,8 @@ def test_training_reads_whole_texts(spark):
     assert b"moron" in model.toxic or b"scum" in model.toxic
     score = {r[0]: r[1] for r in docs.select("doc_id", model.score(docs)).collect()}
     assert sum((score[k] >= 0.5) == (k % 2 == 1) for k in score) > 110
+
+
+def test_rare_labels_keep_their_share():
+    assert toxicity.label_share({0: 99_900, 1: 100}) == 101 / 100_002
+    assert toxicity.label_share({0: 1, 1: 997}) == 998 / 1000

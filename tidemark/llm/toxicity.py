@@ -192,6 +192,11 @@ def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int
     return _calibrate(model, features, np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))], toxic_share)
 
 
+def label_share(counts: dict[int, int]) -> float:
+    """Share of toxic labels as counted, with one more of either class."""
+    return (counts.get(1, 0) + 1) / (counts.get(0, 0) + counts.get(1, 0) + 2)
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", per_class: int = 2000, ordinary_per_toxic: int = 2, keep: int = 100) -> ToxicityModel:
     """Learn from at most ``per_class`` toxic and ``ordinary_per_toxic`` times as many ordinary labelled documents, of each the whole text.
 
@@ -230,5 +235,4 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
         return pa.array([shared.value.features(x.as_py()).tolist() for x in texts], pa.list_(pa.float64()))
 
     measured = picked.select("id", "label", F.arrow_udf(features, returnType=T.ArrayType(T.DoubleType()))("text").alias("f")).orderBy(*order).collect()
-    share = min(0.9, max(0.01, counts.get(1, 0) / max(1, sum(counts.values()))))
-    return _calibrate(model, np.array([row["f"] for row in measured]), np.array([float(row["label"]) for row in measured]), share)
+    return _calibrate(model, np.array([row["f"] for row in measured]), np.array([float(row["label"]) for row in measured]), label_share(counts))
