@@ -1,6 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Both stand behind the same base, a dictionary of
+Two zstandard dictionaries are trained, one on words of toxic and one on words of ordinary text, at most a hundred each that a
+filter picks: in effect this filter decides. Both stand behind the same base, a dictionary of
 common text, so that what either class says alike compresses alike; what is left tells how much shorter a window of a few
 words becomes with toxic than with ordinary text at hand. The windows of a text are summed up in a few numbers, and a
 logistic curve calibrated on labelled texts turns them into a probability.
