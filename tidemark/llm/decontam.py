@@ -1,8 +1,9 @@
 """Benchmark decontamination by suffix arrays over the training texts.
 
 Every Arrow batch of documents is cut into shards of about a million words. A shard's suffix array orders all its word
-positions; every suffix of every benchmark item is searched in it by bisection, word after word, which yields its longest
-verbatim match and the interval of all its occurrences. A document that holds a whole window (``window`` consecutive
+positions; every suffix of every benchmark item that begins with a whole window is searched in it by bisection, word after word, to the
+window's depth, which yields the interval of all the window's occurrences. The shorter suffixes at an item's end are not searched.
+From each occurrence a forward scan finds how far the match goes on; the longest is reported once per contaminated document. A document that holds a whole window (``window`` consecutive
 words of an item, or all of a shorter item) is contaminated. Shards are independent, so the documents are never shuffled.
 
 The benchmark travels to the workers in blocks of at most about :data:`BLOCK_BYTES` of text; more than one block
