@@ -23,6 +23,7 @@ FIRST = {
     8: ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     9: ["doc_id", "held_out", "score", "predicted"],
     10: ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    13: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import merkle
 from tidemark.llm.bpe import BytePairs
 from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
@@ -110,6 +111,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("*", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = {name: F.col(name) for name in merkle.FIELDS} | {"text": F.translate("text", _UPPER, _UPPER.lower())}
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": F.when(chosen, merkle.leaf(tampered))})
+    shown = rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.fold(F.coalesce("row.tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -121,4 +140,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
