@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import re
 
 import xxhash
@@ -79,3 +80,28 @@ def dedup_lines(docs, min_chars=20, min_docs=3):
             holders[line_key(line)].add(i)
     drop = {k: max(ids) for k, ids in holders.items() if len(k) >= min_chars and len(ids) >= min_docs}
     return {i: "\n".join(line for line in (text or "").split("\n") if drop.get(line_key(line), i) == i) for i, text in docs}
+
+
+def repeated_spans(texts, length):
+    """For each text the spans of its bytes that are covered by a string of ``length`` bytes starting at two places."""
+    raws = [(t or "").encode() if not isinstance(t, bytes) else t for t in texts]
+    starts = collections.Counter(raw[i : i + length] for raw in raws for i in range(len(raw) - length + 1))
+    out = []
+    for raw in raws:
+        spans = []
+        for i in range(len(raw) - length + 1):
+            if starts[raw[i : i + length]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + length
+                else:
+                    spans.append([i, i + length])
+        out.append(spans)
+    return out
+
+
+def without_repeats(text, spans):
+    """n_bytes, n_removed, n_spans, kept_sha256."""
+    raw = (text or "").encode()
+    edges = [0, *[x for span in spans for x in span], len(raw)]
+    kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
+    return len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()

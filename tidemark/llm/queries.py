@@ -15,6 +15,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.ngram_lm import train
 from tidemark.llm.quality import score_quality
 from tidemark.llm.simhash import as_hex, near_duplicates
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counter
 from tidemark.llm.toxicity import train_toxicity
 
@@ -111,6 +112,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("*", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    spans = (F.size("spans") / 2).cast("long")
+    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -140,5 +147,6 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
