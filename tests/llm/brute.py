@@ -105,3 +105,55 @@ def without_repeats(text, spans):
     edges = [0, *[x for span in spans for x in span], len(raw)]
     kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
     return len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()
+
+
+def two_tokenizers():
+    """Each side as (text to ids, bytes of an id), straight from the libraries."""
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in visible} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in visible)}
+    b = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    piece = lambda k: bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("\u2581", " ").encode()
+    return (lambda t: a.encode(" " + t, add_special_tokens=False).ids, lambda k: bytes(letters[c] for c in a.id_to_token(k))), (b.encode, piece)
+
+
+def alignments(texts):
+    """n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every text."""
+    sides, found, pairs = two_tokenizers(), [], collections.Counter()
+    for text in texts:
+        raw = b" " + (text or "").encode()
+        ids = [side[0](text) if text else [] for side in sides]
+        ends = []
+        for side, numbers in zip(sides, ids):
+            parts = [side[1](k) for k in numbers]
+            ends.append([sum(map(len, parts[: i + 1])) for i in range(len(parts))] if b"".join(parts) == raw else None)
+        if None in ends:
+            found.append(None)
+            continue
+        groups, links, i, j = [], [], 0, 0
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            left, right = [], []
+            while i < len(ends[0]) and ends[0][i] <= cut:
+                left.append(ids[0][i])
+                i += 1
+            while j < len(ends[1]) and ends[1][j] <= cut:
+                right.append(ids[1][j])
+                j += 1
+            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+            links.append((left[-1], right[-1]))
+        pairs.update(links)
+        found.append((*map(len, ids), ";".join(groups), links))
+    best = collections.defaultdict(int)
+    for (_, b), count in pairs.items():
+        best[b] = max(best[b], count)
+    return [
+        (0, 0, 0, 0, 0, 0, "")
+        if x is None
+        else (x[0], x[1], len(x[3]), len(x[3]), sum(pairs[p] == best[p[1]] for p in x[3]), sum(pairs[p] for p in x[3]), hashlib.sha256(x[2].encode()).hexdigest() if x[2] else "")
+        for x in found
+    ]

@@ -24,6 +24,7 @@ FIRST = {
     9: ["doc_id", "held_out", "score", "predicted"],
     10: ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     11: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    12: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     13: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
@@ -61,6 +62,9 @@ def test_query(spark, sql, name):
         prints = {k: brute.fingerprint(t) for k, t in texts.items()}
         roots = brute.joined(sorted(prints), lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 3)
         assert {r[0]: (r[1], r[2]) for r in rows} == {k: (f"{v:016x}", roots[k]) for k, v in prints.items()}
+    elif name.startswith("op12_"):
+        texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
+        assert sorted(map(tuple, rows)) == sorted((k, *x) for (k, _), x in zip(texts, brute.alignments([t for _, t in texts])))
     elif name.startswith("op11_"):
         texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
         assert sorted(map(tuple, rows)) == sorted((k, *brute.without_repeats(t, r)) for (k, t), r in zip(texts, brute.repeated_spans([t for _, t in texts], 400)))

@@ -10,7 +10,8 @@ import regex
 #: The pattern for which cutting at single spaces first is proved in :func:`chunks`.
 SPACED_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_CUT = re.compile(r" (?=\S)(?<=\S )")
+#: A single space between other characters.
+SINGLE_SPACE = re.compile(r" (?=\S)(?<=\S )")
 _SEGMENT = 1 << 18
 _LONGEST_KEY = 100
 _MARKS = ".,"
@@ -40,7 +41,7 @@ def segments(text: str) -> Iterator[tuple[bool, str]]:
     """The text in parts of about a quarter million characters, cut at single spaces; true if a space was taken off its head."""
     start, headless = 0, False
     while len(text) - start > 2 * _SEGMENT:
-        cut = _CUT.search(text, start + _SEGMENT)
+        cut = SINGLE_SPACE.search(text, start + _SEGMENT)
         if cut is None:
             break
         yield headless, text[start : cut.start()]
@@ -56,7 +57,7 @@ def chunks(text: str) -> Iterator[tuple[str | None, list[str]]]:
     the character after the run. So the pre-tokens on either side are those of either side alone.
     """
     for headless, segment in segments(text):
-        parts = _CUT.split(segment)
+        parts = SINGLE_SPACE.split(segment)
         if headless:
             yield None, parts
         else:

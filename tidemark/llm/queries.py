@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import merkle
+from tidemark.llm.alignment import Alignment
 from tidemark.llm.bpe import BytePairs
 from tidemark.llm.chat import format_conversations, read_back
 from tidemark.llm.decontam import contaminated, contamination
@@ -18,6 +19,7 @@ from tidemark.llm.simhash import as_hex, near_duplicates
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_counts import token_counter
 from tidemark.llm.toxicity import train_toxicity
+from tidemark.session import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +120,17 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = Alignment(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = table(spark, sf_dir, "documents").select("doc_id", both.align("text").alias("s"))
+    digest = F.when(F.col("s.groups") == "", "").otherwise(F.sha2(F.col("s.groups").cast("binary"), 256))
+    aligned = stage(aligned.select("doc_id", "s.n_a", "s.n_b", F.col("s.links").alias("links"), digest.alias("groups_sha256")), "aligned")
+    # each group ends with its one link
+    size = F.size("links").cast("long")
+    shown = aligned.select("doc_id", "n_a", "n_b", size.alias("n_groups"), size.alias("n_links"), both.weigh(aligned).alias("w"), "groups_sha256")
+    return shown.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "w.n_best", "w.count_sum", "groups_sha256")
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -148,5 +161,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
