@@ -6,7 +6,8 @@ repeat; the pieces of the others (a small share of the corpus) are brought toget
 Each shard gets a suffix array (ordered by Larsson-Sadakane refinement: only groups of ties are refined, twice as deep
 each time) and common prefixes by Kasai's walk through the text, done in many lanes at once. Windows whose prefix is shared
 in the shard repeat. A name whose pieces lie in several shards (those at a shard's edges, and those too frequent for one shard) is
-also merged across shards: the shards' sorted window fingerprints meet in ranges, where each is looked up by binary search.
+also merged across shards: each shard's sorted run of window fingerprints is cut at fixed splitters, and the runs of one name and
+bucket are looked up in each other by binary search.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ SHARD_BYTES = 2 << 20
 _LONGEST_RUN = 1024
 _BLOCK = 512 << 10
 _LANES = 4096
-_MERGED_ROWS = 1 << 19
 
 RUNS = T.ArrayType(T.StructType([T.StructField("name", T.LongType()), T.StructField("at", T.LongType()), T.StructField("windows", T.IntegerType()), T.StructField("alone", T.BooleanType())]))
 _RUNS_ARROW = pa.list_(pa.struct([("name", pa.int64()), ("at", pa.int64()), ("windows", pa.int32()), ("alone", pa.bool_())]))
@@ -203,40 +203,64 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> np.n
 
 # --- shards -----------------------------------------------------------------------------------------------------------
 
-_REPEATS = "doc binary, first long, last long, low long, high long"
-_REPEATS_ARROW = pa.schema([("doc", pa.binary()), ("first", pa.int64()), ("last", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+_RUN = "struct<name:bigint,bucket:bigint,prints:binary,owners:binary,docs:array<binary>,at:array<bigint>>"
+_REPEATS = f"doc binary, first long, last long, run {_RUN}"
+_RUN_ARROW = pa.struct([("name", pa.int64()), ("bucket", pa.int64()), ("prints", pa.binary()), ("owners", pa.binary()), ("docs", pa.list_(pa.binary())), ("at", pa.list_(pa.int64()))])
+_SPANS_ARROW = pa.schema([("doc", pa.binary()), ("first", pa.int64()), ("last", pa.int64())])
+_REPEATS_ARROW = _SPANS_ARROW.append(pa.field("run", _RUN_ARROW))
+_PRINT = np.dtype([("low", "<u8"), ("high", "<u8")])
+#: Pieces of a name whose window fingerprints are merged in one bucket, about.
+_BUCKET_PIECES = 4096
+
+
+def _spans(marked: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of every run of ``marked`` items of one piece that are next to each other."""
+    first = np.flatnonzero(marked & np.r_[True, ~marked[:-1] | (piece[1:] != piece[:-1])])
+    last = np.flatnonzero(marked & np.r_[~marked[1:] | (piece[1:] != piece[:-1]), True])
+    return first, last
 
 
 def _shard(rows: list[pa.RecordBatch], edge: set[int], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeats of one shard as spans of bytes (``doc, first, last``), and for names in ``edge`` the fingerprints ``low, high`` of
-    its windows: with their place if they are single here, so that another shard's may mark them, else once without."""
+    """Repeats of one shard as spans of bytes (``doc, first, last``), and for names in ``edge`` a ``run`` of sorted fingerprints for each bucket.
+
+    A window that is single here has its place as owner, so that another shard's may mark it; of repeated ones one goes without.
+    """
     table = pa.Table.from_batches(rows).combine_chunks()
     data, offsets = arrays.raw_bytes(table["piece"].chunk(0))
-    names, at = table["name"].to_numpy(), table["at"].to_numpy()
+    names, at, often = (table[c].to_numpy() for c in ("name", "at", "often"))
     docs = table["doc"].chunk(0)
     group = repeated_windows(data, offsets, length)
     marked = group >= 0
-    piece_of = np.repeat(np.arange(len(names)), np.diff(offsets))
-    first = np.flatnonzero(marked & np.r_[True, ~marked[:-1] | (piece_of[1:] != piece_of[:-1])])
-    last = np.flatnonzero(marked & np.r_[~marked[1:] | (piece_of[1:] != piece_of[:-1]), True])
+    piece_of = np.repeat(np.arange(len(names), dtype=np.int32), np.diff(offsets))
+    first, last = _spans(marked, piece_of)
     piece, shift = piece_of[first], at - offsets[:-1]
-    none = pa.nulls(len(first), pa.int64())
-    yield pa.record_batch([docs.take(pa.array(piece)), pa.array(first + shift[piece]), pa.array(last + shift[piece] + length), none, none], schema=_REPEATS_ARROW)
-    if not edge:
+    yield pa.record_batch([docs.take(pa.array(piece)), pa.array(first + shift[piece]), pa.array(last + shift[piece] + length), pa.nulls(len(first), _RUN_ARROW)], schema=_REPEATS_ARROW)
+    wanted = np.isin(names, list(edge))
+    if not wanted.any():
         return
-    windows = np.flatnonzero(np.isin(names, list(edge))[piece_of] & (offsets[1:][piece_of] - np.arange(len(data)) >= length))
+    windows = np.flatnonzero(wanted[piece_of] & (offsets[1:][piece_of] - np.arange(len(data)) >= length))
     single = group[windows] < 0
-    alone = windows[single]
-    witness = windows[~single]
-    witness = np.sort(witness[np.unique(group[witness], return_index=True)[1]])
-    for chosen, owned in ((alone, True), (witness, False)):
-        for start in range(0, len(chosen), _MERGED_ROWS):
-            w = chosen[start : start + _MERGED_ROWS]
-            half = length // 2
-            low, high = arrays.hash_spans(data, w, w + half), arrays.hash_spans(data, w + half, w + length)
-            place = pa.array(w + shift[piece_of[w]]) if owned else pa.nulls(len(w), pa.int64())
-            owner = docs.take(pa.array(piece_of[w])) if owned else pa.nulls(len(w), pa.binary())
-            yield pa.record_batch([owner, place, pa.nulls(len(w), pa.int64()), pa.array(low.view(np.int64)), pa.array(high.view(np.int64))], schema=_REPEATS_ARROW)
+    alone, others = windows[single], windows[~single]
+    witness = others[np.unique(group[others], return_index=True)[1]]
+    windows = np.sort(np.concatenate((alone, witness)))
+    owned = group[windows] < 0
+    prints = np.empty(len(windows), _PRINT)
+    half = length // 2
+    prints["low"], prints["high"] = arrays.hash_spans(data, windows, windows + half), arrays.hash_spans(data, windows + half, windows + length)
+    piece = piece_of[windows]
+    # a name with many pieces is cut into buckets by the leading bits of its fingerprints
+    bits = np.ceil(np.log2(np.maximum(often / _BUCKET_PIECES, 1))).astype(np.uint64)[piece]
+    bucket = np.where(bits > 0, prints["low"] >> (np.uint64(64) - np.maximum(bits, np.uint64(1))), np.uint64(0)).astype(np.int64)
+    by = np.lexsort((prints["high"], prints["low"], bucket, names[piece]))
+    windows, owned, prints, piece, bucket = (x[by] for x in (windows, owned, prints, piece, bucket))
+    cuts = np.flatnonzero(np.r_[True, (names[piece][1:] != names[piece][:-1]) | (bucket[1:] != bucket[:-1]), True])
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        known, owner = np.unique(piece[i:j], return_inverse=True)
+        # an owner: the piece and the window's place in it
+        owners = np.where(owned[i:j], owner << 32 | windows[i:j] - offsets[:-1][piece[i:j]], -1)
+        run = {"name": int(names[piece[i]]), "bucket": int(bucket[i]), "prints": prints[i:j].tobytes(), "owners": owners.astype("<i8").tobytes(), "docs": docs.take(pa.array(known)).to_pylist(), "at": at[known].tolist()}
+        none = pa.nulls(1, pa.int64())
+        yield pa.record_batch([pa.nulls(1, pa.binary()), none, none, pa.array([run], _RUN_ARROW)], schema=_REPEATS_ARROW)
 
 
 def _sharder(length: int, shard_bytes: int):
@@ -276,52 +300,59 @@ def _sharder(length: int, shard_bytes: int):
     return run
 
 
-def _merger(length: int):
-    """Looks every fingerprint of a sorted range up in all of it by binary search; those found twice give their places as spans."""
+def _merged(runs: list[dict], length: int) -> pa.RecordBatch:
+    """Spans of the windows that another shard's run holds too: every run is looked up in the others by binary search."""
+    prints = [np.frombuffer(run["prints"], _PRINT) for run in runs]
+    everything = np.sort(np.concatenate(prints), order=("low", "high"))
+    # one number for each fingerprint, so that pairs are searched like numbers
+    keys = everything[np.r_[True, everything[1:] != everything[:-1]]]
+    spans: list[tuple[bytes, int, int]] = []
+    found = np.zeros(len(keys), np.int64)
+    places = [_place(keys, mine) for mine in prints]
+    for place in places:
+        found[place] += 1
+    for run, place in zip(runs, places):
+        owners = np.frombuffer(run["owners"], "<i8")
+        hit = np.sort(owners[(owners >= 0) & (found[place] > 1)])
+        first = np.flatnonzero(np.diff(hit, prepend=-2) != 1)
+        last = np.r_[first[1:], len(hit)] - 1 if len(first) else first
+        for start, end in zip(hit[first].tolist(), hit[last].tolist()):
+            at = run["at"][start >> 32]
+            spans.append((run["docs"][start >> 32], at + (start & 0xFFFFFFFF), at + (end & 0xFFFFFFFF) + length))
+    doc, first, last = zip(*spans) if spans else ((), (), ())
+    return pa.record_batch([pa.array(doc, pa.binary()), pa.array(first, pa.int64()), pa.array(last, pa.int64())], schema=_SPANS_ARROW)
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Index of each fingerprint in the sorted ``keys``, which hold them all."""
+    low = np.searchsorted(keys["low"], wanted["low"])
+    # first halves that are equal stand side by side
+    while True:
+        behind = keys["high"][low] != wanted["high"]
+        if not behind.any():
+            return low
+        low = low + behind
+
 
-    def spans(rows: pa.Table, found: np.ndarray) -> pa.RecordBatch:
-        chosen = rows.filter(pa.array(found & rows["first"].is_valid().to_numpy())).combine_chunks()
-        at = chosen["first"].to_numpy()
-        docs = chosen["doc"].chunk(0) if len(at) else pa.array([], pa.binary())
-        none = pa.nulls(len(at), pa.int64())
-        return pa.record_batch([docs, pa.array(at), pa.array(at + length), none, none], schema=_REPEATS_ARROW)
+def _merger(length: int):
+    """Merges the runs of each name and bucket; the rows of a partition are sorted by them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        count = 0
+        held: list[dict] = []
         for batch in batches:
-            held.append(batch)
-            count += len(batch)
-            if count < _MERGED_ROWS:
-                continue
-            rows = pa.Table.from_batches(held)
-            code = _codes(rows)
-            # the last fingerprint may go on in the next batch; should it fill this one alone, it is known to repeat
-            cut = int(np.searchsorted(code, code[-1]))
-            if cut:
-                yield spans(rows.slice(0, cut), _twice(code[:cut]))
-                rest = rows.slice(cut)
-            else:
-                yield spans(rows, code == code)
-                rest = rows.slice(0, 2)
-            held, count = rest.combine_chunks().to_batches(), len(rest)
-        if count:
-            rows = pa.Table.from_batches(held)
-            yield spans(rows, _twice(_codes(rows)))
+            for row in batch["run"]:
+                row = row.as_py()
+                if held and (held[0]["name"], held[0]["bucket"]) != (row["name"], row["bucket"]):
+                    if len(held) > 1:
+                        yield _merged(held, length)
+                    held = []
+                held.append(row)
+        if len(held) > 1:
+            yield _merged(held, length)
 
     return run
 
 
-def _codes(rows: pa.Table) -> np.ndarray:
-    """Ascending numbers of the fingerprints of sorted rows."""
-    low, high = rows["low"].to_numpy(), rows["high"].to_numpy()
-    return np.cumsum(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-
-
-def _twice(code: np.ndarray) -> np.ndarray:
-    return np.searchsorted(code, code, "right") - np.searchsorted(code, code, "left") > 1
-
-
 # --- the operator -----------------------------------------------------------------------------------------------------
 
 
@@ -397,20 +428,21 @@ def remove_repeats(
     # each distinct text once, with the number of its copies; then the runs whose name is not theirs alone
     runs = texts.select("doc", F.explode(_run_finder(length, gram)("text")).alias("run")).select("doc", "run.*")
     runs = stage(runs.groupBy("doc", "at").agg(F.first("name").alias("name"), F.first("windows").alias("windows"), F.first("alone").alias("alone"), F.count(F.lit(1)).alias("copies")), "runs", work)
-    shared = runs.groupBy("name").agg((F.count(F.lit(1)) > 1).alias("often"), F.bool_or(~F.col("alone")).alias("twice")).where("often or twice").select("name")
-    chosen = runs.join(shared, "name").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("at", "windows", "name"))).alias("runs"))
+    shared = runs.groupBy("name").agg(F.count(F.lit(1)).alias("often"), F.bool_or(~F.col("alone")).alias("twice")).where("often > 1 or twice").drop("twice")
+    chosen = runs.join(shared, "name").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("at", "windows", "name", "often"))).alias("runs"))
 
     # their bytes, from one copy of each text
     single = texts.groupBy("doc").agg(F.first("text").alias("text"))
     cut = single.join(chosen, "doc").select("doc", "runs", _cutter(length)("text", F.col("runs.at"), F.col("runs.windows")).alias("pieces"))
-    pieces = cut.select("doc", F.explode(F.arrays_zip("runs", "pieces")).alias("p")).select("doc", "p.runs.at", "p.runs.name", F.col("p.pieces").alias("piece"))
+    pieces = cut.select("doc", F.explode(F.arrays_zip("runs", "pieces")).alias("p")).select("doc", "p.runs.at", "p.runs.name", "p.runs.often", F.col("p.pieces").alias("piece"))
     pieces = stage(pieces, "pieces", work)
     size = pieces.agg(F.sum(F.length("piece"))).first()[0] or 0
     shards = pieces.repartitionByRange(max(1, -(-size // (2 * shard_bytes))), "name", "doc", "at").sortWithinPartitions("name", "doc", "at")
     found = stage(shards.mapInArrow(_sharder(length, shard_bytes), _REPEATS), "shards", work)
-    inside = found.where("last is not null").select("doc", "first", "last")
-    edges = found.where("last is null").repartitionByRange("low", "high").sortWithinPartitions("low", "high")
-    across = edges.mapInArrow(_merger(length), _REPEATS).select("doc", "first", "last")
+    inside = found.where("run is null").select("doc", "first", "last")
+    place = [F.col("run.name"), F.col("run.bucket")]
+    edges = found.where("run is not null").select("run").repartition(*place).sortWithinPartitions(*place)
+    across = edges.mapInArrow(_merger(length), "doc binary, first long, last long")
 
     # back to the documents: texts with copies go as a whole
     whole = runs.where("at = 0 and copies > 1").select("doc", F.lit(0).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))
