@@ -29,7 +29,7 @@ from tidemark.llm.pretokens import SINGLE_SPACE, segments
 from tidemark.llm.token_counts import byte_letters
 
 #: Text that is aligned at a time, and text that goes to a tokenizer in one call.
-_BLOCK_CHARS, _CALL_CHARS = 4 << 20, 1 << 15
+_BLOCK_CHARS, _CALL_CHARS = 2 << 20, 1 << 15
 
 
 # --- the two tokenizers -----------------------------------------------------------------------------------------------
