@@ -191,3 +191,14 @@ def test_changes_that_lost_stay_in_their_scan(spark):
     picked = KeyFilter(ids, newest.PAYLOAD_KEY)
     assert 200 <= log.where(picked.maybe()).count() < 300
     assert newest.change_payloads(log.where(picked.maybe()), ids).count() == 200
+
+
+def test_a_document_is_parsed_once_whatever_is_read_and_filtered(spark):
+    from tidemark.functions import metadata
+
+    frame = spark.createDataFrame([(document("t", "k"),)], "value string").repartition(2)
+    parsed = metadata.require_complete(metadata.with_metadata(frame))
+    for read in (parsed, parsed.select("table"), parsed.where("key = 'k' AND version > 0").select("key"), parsed.join(parsed.select("key"), "key", "left_semi")):
+        text = read._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json(") == (2 if "LeftSemi" in text else 1)
+    assert parsed.select("table").count() == 1

@@ -134,3 +134,111 @@ def test_stream_equals_batch(spark, tmp_path):
     columns = ["updateId", "table", "key", "version", "deleted", "content"]
     got = read_change_log(spark, str(tmp_path / "log")).select(*columns).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, twin.select(*columns).collect()))
+
+
+def aside(spark, folder):
+    from tidemark.sinks.quarantine import read_quarantine
+
+    return sorted((r["eventKey"] or "", r["value"], r["reason"], r["batch"]) for r in read_quarantine(spark, str(folder)).collect())
+
+
+BROKEN = '{"~id":"broken","text":"kept"}'
+
+
+def test_what_cannot_be_stored_goes_to_the_quarantine_with_its_text(spark, tmp_path):
+    source, log, away = tmp_path / "in", tmp_path / "log", tmp_path / "away"
+    land(source, "1.json", document("t", "a", 1), BROKEN, document("u", "b", 1))
+    (source / "2.json").write_text("no page\n")
+    assert aside(spark, away) == []
+    run(spark, source, log, tmp_path / "cp", on_invalid="quarantine", quarantine=str(away), condition="`table` = 't'")
+    assert [r[:2] for r in logged(spark, log)] == [("t", "a")]
+    found = [r[:3] for r in aside(spark, away)]
+    assert found == [("", "no page", "unreadable page"), ("e1", BROKEN, "lacks ~table, ~version, ~lastUpdateAt, ~deleted")]
+
+
+@pytest.mark.parametrize("moment", ["quarantine", "staged", "committed"])
+def test_a_crash_between_the_two_sinks_adds_nothing_twice(spark, tmp_path, monkeypatch, moment):
+    from tidemark.sinks.batches import BatchCommit
+
+    source, log, away, checkpoint = tmp_path / "in", tmp_path / "log", tmp_path / "away", tmp_path / "cp"
+    options = {"on_invalid": "quarantine", "quarantine": str(away)}
+    land(source, "0.json", document("t", "k", 0), BROKEN)
+    run(spark, source, log, checkpoint, **options)
+    land(source, "1.json", BROKEN, *[document("t", f"k{i}", 1) for i in range(10)])
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    real = ingest.append_change_log
+    with monkeypatch.context() as patch:
+        if moment == "quarantine":
+            patch.setattr(ingest, "append_change_log", lost)
+        elif moment == "staged":
+            patch.setattr(ingest, "append_change_log", lambda rows, path, n: (real(rows.where("key < 'k5'"), path, n), lost()))
+        else:
+            patch.setattr(BatchCommit, "_publish", lost)
+        with pytest.raises(Exception, match="executor lost"):
+            run(spark, source, log, checkpoint, **options)
+        # readers see no part of a batch that is not published
+        assert [r[1] for r in logged(spark, log)] == ["k"]
+    # a query that has committed before never reads the log
+    monkeypatch.setattr(ingest, "without_logged", lost)
+    run(spark, source, log, checkpoint, **options)
+    assert [r[1] for r in logged(spark, log)] == ["k"] + [f"k{i}" for i in range(10)]
+    assert len(aside(spark, away)) == 2
+    assert not list((log / "_batches").glob("*/batch-*")) and len(list((log / "_batches").glob("*/*.committed"))) == 1
+
+
+def test_incomplete_documents_have_no_place_in_the_log(spark, tmp_path):
+    for options in ({"on_invalid": "keep"}, {"on_invalid": "quarantine"}, {"quarantine": "x"}):
+        with pytest.raises(ValueError):
+            run(spark, tmp_path, tmp_path / "log", tmp_path / "cp", **options)
+
+
+def test_repaired_events_are_delivered_again(spark, tmp_path):
+    from tidemark.sinks.quarantine import read_quarantine, requeue
+
+    source, log, away = tmp_path / "in", tmp_path / "log", tmp_path / "away"
+    good = document("t", "a", 1)
+    land(source, "1.json", good.replace("~id", "~di"))
+    (source / "2.json").write_text('[{"content":' + good.replace('"a"', '"b"') + "}\n")
+    options = {"on_invalid": "quarantine", "quarantine": str(away)}
+    run(spark, source, log, tmp_path / "cp", **options)
+    assert logged(spark, log) == []
+    repaired = read_quarantine(spark, str(away)).withColumn(
+        "value", F.when(F.col("eventKey").isNull(), F.concat("value", F.lit("]"))).otherwise(F.replace("value", F.lit("~di"), F.lit("~id")))
+    )
+    requeue(repaired, str(source))
+    run(spark, source, log, tmp_path / "cp", **options)
+    assert logged(spark, log) == [("t", k, 1, False, document("t", k, 1)) for k in "ab"]
+
+
+def test_a_stop_finishes_the_batch_and_a_restart_repeats_nothing(spark, tmp_path, monkeypatch):
+    from tidemark.streaming.control import BatchProgress, StopMarker, run_until_stopped
+
+    source, log = tmp_path / "in", tmp_path / "log"
+    for n in range(3):
+        land(source, f"{n}.json", *[document("t", f"k{n}{i}", 1) for i in range(5)])
+    stop = StopMarker(spark, f"file://{tmp_path}/stop")
+    real, batches = ingest.append_change_log, []
+
+    def slow(rows, path, partitions):
+        batches.append(path)
+        stop.request()  # as if from elsewhere, while the batch runs
+        real(rows, path, partitions)
+
+    progress = BatchProgress()
+    spark.streams.addListener(progress)
+    try:
+        with monkeypatch.context() as patch:
+            patch.setattr(ingest, "append_change_log", slow)
+            events = landed_events(spark, str(source), 1)
+            query = ingest.ingest_changes(events, str(log), str(tmp_path / "cp"), interval="0 seconds", stop=stop)
+            assert run_until_stopped(query, stop, 0.2)
+        assert not query.isActive and len(batches) == 1 and len(logged(spark, log)) == 5
+        stop.clear()
+        run(spark, source, log, tmp_path / "cp", stop=stop)
+        assert len(logged(spark, log)) == 15
+    finally:
+        spark.streams.removeListener(progress)
+    assert any(rows for batches in progress.batches.values() for _, rows, _ in batches)

@@ -20,7 +20,7 @@ _ISO_TIME = (
 def iso_to_millis(text: Column) -> Column:
     """ISO-8601 text to epoch milliseconds; null when it is not such a time. A time of day needs a zone.
 
-    Give it a plain column: the expression refers to its argument many times.
+    Give it a plain column or one bound by :func:`_let`: the expression refers to its argument many times.
     """
 
     def part(group: int, default: str) -> Column:
@@ -38,6 +38,20 @@ def iso_to_millis(text: Column) -> Column:
     return F.unix_millis(moment.try_cast("timestamp"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _add_columns(df: DataFrame, fields: Column, names: list[str]) -> DataFrame:
+    """Add the fields of a struct as columns, computing it once for each row whatever is read or filtered afterwards.
+
+    A generator is what Spark neither copies into later expressions nor pushes a filter below, nor leaves out when its columns are not read.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*others, F.inline_outer(F.array(fields)))
+
+
 def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
     """Add ``table, key, version, lastUpdateTs, deleted`` from the top level of a JSON column.
 
@@ -45,18 +59,13 @@ def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
     into; a fractional version is cut to its whole part. What cannot be found is null. The text is parsed
     once, into variants, so that ``5`` and ``"5"`` stay apart and repeated names are all seen.
     """
-    parsed = df.withColumn(
-        "_attrs",
-        F.filter(
-            F.map_entries(F.from_json(F.col(document), "map<string,variant>")),
-            lambda e: e["key"].isin(INTRINSIC_FIELDS),
-        ),
+    attributes = F.filter(
+        F.map_entries(F.from_json(F.col(document), "map<string,variant>")),
+        lambda e: e["key"].isin(INTRINSIC_FIELDS),
     )
 
-    def first(name: str, of_type, spark_type: str) -> Column:
-        hits = F.filter(
-            F.col("_attrs"), lambda e: (e["key"] == name) & of_type(F.schema_of_variant(e["value"]))
-        )
+    def first(found: Column, name: str, of_type, spark_type: str) -> Column:
+        hits = F.filter(found, lambda e: (e["key"] == name) & of_type(F.schema_of_variant(e["value"])))
         return F.try_variant_get(F.get(hits, F.lit(0))["value"], "$", spark_type)
 
     def text(kind: Column) -> Column:
@@ -65,16 +74,16 @@ def with_metadata(df: DataFrame, document: str = "value") -> DataFrame:
     def number(kind: Column) -> Column:
         return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
-    found = parsed.withColumns(
-        {
-            "table": first("~table", text, "string"),
-            "key": first("~id", text, "string"),
-            "version": first("~version", number, "bigint"),
-            "_updated": first("~lastUpdateAt", text, "string"),
-            "deleted": first("~deleted", lambda kind: kind == "BOOLEAN", "boolean"),
-        }
-    )
-    return found.withColumn("lastUpdateTs", iso_to_millis(F.col("_updated"))).drop("_attrs", "_updated")
+    def fields(found: Column) -> Column:
+        return F.struct(
+            first(found, "~table", text, "string").alias("table"),
+            first(found, "~id", text, "string").alias("key"),
+            first(found, "~version", number, "bigint").alias("version"),
+            _let(first(found, "~lastUpdateAt", text, "string"), iso_to_millis).alias("lastUpdateTs"),
+            first(found, "~deleted", lambda kind: kind == "BOOLEAN", "boolean").alias("deleted"),
+        )
+
+    return _add_columns(df, _let(attributes, fields), METADATA_COLUMNS)
 
 
 def is_complete(attributes: list[str] = METADATA_COLUMNS) -> Column:
@@ -90,7 +99,8 @@ def require_complete(df: DataFrame, document: str = "value", attributes: list[st
     message = F.concat(
         F.lit("document lacks a required attribute: "), F.coalesce(F.substring(F.col(document), 1, 200), F.lit("null"))
     )
-    return df.where(F.when(is_complete(attributes), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    fields = F.struct(*[F.col(name) for name in METADATA_COLUMNS])
+    return _add_columns(df, F.when(is_complete(attributes), fields).otherwise(F.raise_error(message)), METADATA_COLUMNS)
 
 
 def valid_documents(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.naming import encode_table_name, folder_name_of
 from tidemark.operators.combine import snapshot_file_plan
 from tidemark.schema import DOCUMENTS_PER_FILE, FILES_PER_COPY_TASK, POINTER_FILE
-from tidemark.session import stage
+from tidemark.session import scratch_path, stage
 from tidemark.sources import storage
 from tidemark.sources.whole_files import file_tools
 
@@ -47,8 +47,10 @@ def write_snapshot(
     that, else the rows are counted per table first. Ungrouped rows are written by the tasks that hold them,
     without a shuffle. Either way no file exceeds ``documents_per_file``.
     """
+    spark, own = documents.sparkSession, None
     if grouped and plan is None:
-        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan", work)
+        own = None if work else scratch_path(spark, "plan")
+        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan", work or own)
     # encoded before the sort: the writer then finds its partition column in order and does not sort again
     encoded = encode_table_name(F.col("table"))
     lines = documents.select(encoded.alias("table"), "key", "value")
@@ -56,14 +58,18 @@ def write_snapshot(
         # two names may share a directory
         folders = plan.select(encoded.alias("table"), "files").groupBy("table").agg(F.sum("files").alias("files"))
         lines = group_into_files(lines, folders)
-    (
-        lines.select("table", "value")
-        .write.mode(mode)
-        .partitionBy("table")
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", documents_per_file)
-        .text(path)
-    )
+    try:
+        (
+            lines.select("table", "value")
+            .write.mode(mode)
+            .partitionBy("table")
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", documents_per_file)
+            .text(path)
+        )
+    finally:
+        if own:
+            storage.delete(spark, own)
 
 
 def _spread(files: DataFrame, count: int | None) -> DataFrame:

@@ -44,6 +44,18 @@ def entries(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]]:
     return [(x.getPath().getName(), x.getPath().toUri().toString(), x.isDirectory(), x.getLen()) for x in found]
 
 
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """``(folder below path, name, uri)`` of every file at any depth."""
+    base = file_system(spark, path).makeQualified(hadoop_path(spark, path)).toUri().getPath().rstrip("/")
+    found = file_system(spark, path).listFiles(hadoop_path(spark, path), True)
+    files = []
+    while found.hasNext():
+        file = found.next().getPath()
+        folder = file.getParent().toUri().getPath()
+        files.append((folder.removeprefix(base).strip("/"), file.getName(), file.toUri().toString()))
+    return files
+
+
 def write_small(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file in one step: write beside it, then rename over it."""
     jvm = spark._jvm

@@ -28,7 +28,8 @@ def parse_envelopes(lines: DataFrame, on_invalid: str = "fail") -> DataFrame:
     """``eventKey, value`` per event; ``value`` is the content object as compact JSON. Other fields are skipped.
 
     A line that is not blank and not such an array is never passed over in silence: ``fail`` stops, ``keep`` gives a row
-    without ``eventKey`` and with the raw line as ``value``, ``drop`` leaves it out. An empty array holds no events.
+    without ``eventKey`` and with the raw line as ``value``, and marks all rows by ``unreadable``; ``drop`` leaves it out. An
+    empty array holds no events.
     """
     check_on_invalid(on_invalid)
     pages = lines.where(F.trim("value") != "").select("value", F.from_json("value", ENVELOPE).alias("events"))
@@ -38,9 +39,9 @@ def parse_envelopes(lines: DataFrame, on_invalid: str = "fail") -> DataFrame:
     if on_invalid == "fail":
         message = F.concat(F.lit("unreadable page of events: "), F.substring("value", 1, 200))
         raw = F.raise_error(message).cast(ENVELOPE)
-    return pages.select(F.explode(F.coalesce("events", raw)).alias("event")).select(
-        "event.eventKey", F.col("event.content").alias("value")
-    )
+    events = pages.select(F.explode(F.coalesce("events", raw)).alias("event"), F.col("events").isNull().alias("unreadable"))
+    mark = ["unreadable"] if on_invalid == "keep" else []
+    return events.select("event.eventKey", F.col("event.content").alias("value"), *mark)
 
 
 def check_on_invalid(on_invalid: str) -> None:
@@ -52,7 +53,7 @@ def parse_events(lines: DataFrame, on_invalid: str = "fail") -> DataFrame:
     """Envelope lines to ``eventKey, value, table, key, version, lastUpdateTs, deleted``.
 
     ``on_invalid``: ``fail`` stops on an unreadable page or a document without the required attributes, ``drop`` leaves
-    it out, ``keep`` passes it on for :func:`tidemark.functions.metadata.invalid_documents`.
+    it out, ``keep`` passes it on for :func:`tidemark.sinks.quarantine.split_rejected`.
     """
     events = with_metadata(parse_envelopes(lines, on_invalid))
     if on_invalid == "fail":

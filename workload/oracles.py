@@ -185,6 +185,15 @@ ORACLES = {
     "stream_replay": _sql(f"SELECT tbl, k, version, last_ts, CAST(1 AS BIGINT) AS times FROM {_NEWEST}"),
     "bad_pages": """SELECT true AS readable, 'e' || event_id AS name FROM events WHERE (event_id // 50) % 10 <> 0
         UNION ALL SELECT DISTINCT false AS readable, 'page ' || (event_id // 50) AS name FROM events WHERE (event_id // 50) % 10 = 0""",
+    "stream_quarantine": _sql(
+        """SELECT DISTINCT 'unreadable page' AS outcome, 'page ' || (event_id // 50) AS name, '' AS body FROM events WHERE (event_id // 50) % 10 = 0
+           UNION ALL
+           SELECT 'lacks ~deleted' AS outcome, 'e' || event_id AS name, props AS body FROM events WHERE (event_id // 50) % 10 <> 0 AND event_id % 10 = 0
+           UNION ALL
+           SELECT 'stored' AS outcome, tbl || '/' || k || '/' || version AS name, props AS body FROM (
+             SELECT *, row_number() OVER (PARTITION BY tbl, k ORDER BY version DESC, last_ts DESC, uid DESC) AS rn
+             FROM changes WHERE (CAST(substr(uid, 2) AS BIGINT) // 50) % 10 <> 0 AND NOT deleted) WHERE rn = 1"""
+    ),
     "generate_new_tables": _sql(
         """SELECT tbl, k, props AS body FROM latest WHERE NOT deleted
            UNION ALL

@@ -21,6 +21,7 @@ from tidemark.sources.snapshot import (
     scan_snapshot_lines,
     snapshot_files,
 )
+from tidemark.sinks.quarantine import UNREADABLE_PAGE, read_quarantine
 from tidemark.streaming.events import landed_events, parse_envelopes, parse_events, union_streams
 from tidemark.streaming.ingest import ingest_changes
 from workload import views
@@ -526,6 +527,24 @@ def bad_pages(spark, sf):
     return events.select(readable.alias("readable"), F.coalesce("eventKey", page).alias("name"))
 
 
+def stream_quarantine(spark, sf):
+    """Bad pages and documents are set aside, the others logged. All is delivered a second time, to the same two places."""
+    log, aside = scratch_path(spark, "log"), scratch_path(spark, "quarantine")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        events = landed_events(spark, views.mixed_landing(spark, sf))
+        ingest_changes(events, log, checkpoint, interval=None, on_invalid="quarantine", quarantine=aside).awaitTermination()
+    rejected = read_quarantine(spark, aside)
+    page = F.concat(F.lit("page "), F.floor(F.regexp_extract("value", views.FIRST_EVENT, 1).cast("long") / 50).cast("string"))
+    # the text is whole: what it tells is read from it
+    told = F.coalesce(F.get_json_object("value", "$.body"), F.lit(""))
+    name = F.when(F.col("reason") == UNREADABLE_PAGE, page).otherwise(F.col("eventKey"))
+    logged = read_change_log(spark, log)
+    body = F.get_json_object(payload.bytes_to_text(F.col("content")), "$.body")
+    stored = logged.select(F.lit("stored").alias("outcome"), F.concat_ws("/", "table", "key", "version").alias("name"), body.alias("body"))
+    return rejected.select(F.col("reason").alias("outcome"), name.alias("name"), told.alias("body")).unionByName(stored)
+
+
 QUERIES = {
     "scan_changes": scan_changes,
     "live_tables_text": live_tables_text,
@@ -598,4 +617,5 @@ QUERIES = {
     "stream_dedup": stream_dedup,
     "stream_replay": stream_replay,
     "bad_pages": bad_pages,
+    "stream_quarantine": stream_quarantine,
 }

@@ -289,6 +289,16 @@ def bad_landing(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, _bad_landing)
 
 
+def _mixed_landing(spark, sf_dir, path):
+    pages = spark.read.text(bad_landing(spark, sf_dir))
+    pages.select(F.replace("value", F.lit('"~deleted":true'), F.lit('"~deleted":"true"')).alias("value")).write.text(path)
+
+
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The same pages, with deletes whose mark has the wrong type."""
+    return _once(spark, sf_dir, _mixed_landing)
+
+
 # The same views for the reference SQL.
 SQL_VIEWS = """
 changes AS (
