@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import re
 
@@ -157,3 +158,35 @@ def alignments(texts):
         else (x[0], x[1], len(x[3]), len(x[3]), sum(pairs[p] == best[p[1]] for p in x[3]), sum(pairs[p] for p in x[3]), hashlib.sha256(x[2].encode()).hexdigest() if x[2] else "")
         for x in found
     ]
+
+
+@functools.cache
+def library_of_ranks():
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def byte_pairs(text):
+    """n_tokens, ids_sha256, decoded_sha256."""
+    ids = library_of_ranks().encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(b"".join(k.to_bytes(4, "little") for k in ids)).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+@functools.cache
+def library_of_merges():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def token_count(text):
+    """n_bytes, n_tokens, over_limit."""
+    tokens = len(library_of_merges().encode(text or "", add_special_tokens=False).ids)
+    return len((text or "").encode()), tokens, tokens > 512

@@ -207,6 +207,28 @@ def test_queue_takes_the_lowest_rank_and_leftmost_place():
     assert bpe.merge(b"aaaaab", ranks, queue) == [258, 300 - 300 + 97, 98] and not queue.buckets and not any(queue.words)
 
 
+def test_many_pretokens_in_one_queue():
+    ranks = bpe.Ranks(RANKS)
+    queue = bpe.RankQueue(max(RANKS.values()) + 1)
+    pieces = [b"", b"aaaa", b" indivisible", b"a", b"", "é漢字".encode(), b"aaaaaaa", b"zzzz zz"]
+    assert bpe.merge_all(pieces, ranks, queue) == [bpe.merge(p, RANKS, queue) if p else [] for p in pieces]
+    assert bpe.merge_all([], ranks, queue) == [] and not queue.top
+    # a merge that opens a lower rank than its own: the rest of the bucket waits for it
+    odd = bpe.Ranks({bytes([b]): b for b in range(256)} | {b"ab": 300, b"abc": 260, b"cab": 256, b"abcab": 257})
+    assert bpe.merge_all([b"abcab", b"ab"], odd, bpe.RankQueue(301)) == [[257], [300]]
+
+
+def test_remembered_pretokens_are_bounded():
+    known = bpe.Remembered(limit=1000)
+    for k in range(100):
+        assert known.missing([f"k{k}"]) == [f"k{k}"]
+        known.put(f"k{k}", b"x")
+        assert known.young[f"k{k}"] == b"x" and not known.missing([f"k{k}"])
+        known.turn()
+    assert len(known.young) + len(known.old) <= 16
+    assert known.missing(["k98", "k0"]) == ["k0"] and known.young["k98"] == b"x"
+
+
 def test_whole_tokens_are_proved_and_not_assumed():
     assert all(COUNTER.count(token) == 1 for token in [" the", "ing", "!"] if token in MERGES.whole)
     assert len(MERGES.whole) > 40_000

@@ -65,6 +65,12 @@ def test_query(spark, sql, name):
     elif name.startswith("op12_"):
         texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
         assert sorted(map(tuple, rows)) == sorted((k, *x) for (k, _), x in zip(texts, brute.alignments([t for _, t in texts])))
+    elif name.startswith("op6_"):
+        texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
+        assert sorted(map(tuple, rows)) == sorted((k, *brute.byte_pairs(t)) for k, t in texts)
+    elif name.startswith("op10_"):
+        texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
+        assert sorted(map(tuple, rows)) == sorted((k, *brute.token_count(t)) for k, t in texts)
     elif name.startswith("op11_"):
         texts = sql.execute("SELECT doc_id, text FROM documents").fetchall()
         assert sorted(map(tuple, rows)) == sorted((k, *brute.without_repeats(t, r)) for (k, t), r in zip(texts, brute.repeated_spans([t for _, t in texts], 400)))
