@@ -315,3 +315,58 @@ def test_a_tilde_in_a_table_name(spark, tmp_path, monkeypatch, literal_names):
         "c:d": [document("c~d", "k1")],
         "e:f": sorted([document("e:f", "k1"), document("e:f", "k2", 2, "new")]),
     }
+
+
+def test_the_manifest_saves_the_search_for_repeated_keys(spark, tmp_path, monkeypatch):
+    """First run: every merged table is searched. Next run: only one that was never merged is, and all texts are read once."""
+    from tidemark.sinks.manifest import read_manifest
+    from tidemark.sources.snapshot import Snapshot
+
+    root, log = tmp_path / "root", tmp_path / "log"
+    repeated = [document("u", f"k{i % 6}", text=str(i)) for i in range(10)]
+    write_file(root, PRIOR, "t", "a.json", [document("t", f"k{i}") for i in range(10)] + [document("t", "k0", text="again")])
+    write_file(root, PRIOR, "u", "a.json", repeated)
+    point_at(root, PRIOR)
+    write_log(spark, [
+        change("t", "k3", 2, "20180107", "new"), change("t", "k4", 2, "20180107", deleted=True),
+        change("t", "k5", 2, "20180109", "newer"), change("u", "k0", 2, "20180109", "new"),
+    ], log)
+    read = []
+    real = Snapshot.documents
+
+    def counted(self, tables=None, position=True, strict=True):
+        read.append(sorted(tables.names))
+        return real(self, tables, position, strict)
+
+    monkeypatch.setattr(Snapshot, "documents", counted)
+    report = generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t", "u"]), datetime(2018, 1, 9))
+    assert read == [["t"], ["t"]]
+    assert (report.updated, report.deleted, report.carried, report.copied_files) == (1, 1, 8, 1)
+    assert {tuple(r) for r in read_manifest(spark, str(root), NEXT).collect()} == {("t", True), ("u", False)}
+
+    read.clear()
+    report = generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t", "u"]), datetime(2018, 1, 10))
+    assert sorted(read) == [["t", "u"], ["u"]]
+    assert (report.updated, report.deleted, report.carried, report.copied_files) == (2, 0, 8 + 5, 0)
+    kept = [document("t", f"k{i}") for i in range(10) if i not in (3, 4, 5)]
+    assert read_back(root, report.name) == {
+        "t": sorted(kept + [document("t", "k3", 2, "new"), document("t", "k5", 2, "newer")]),
+        "u": sorted([document("u", f"k{i}", text=str(i)) for i in range(1, 6)] + [document("u", "k0", 2, "new")]),
+    }
+
+    read.clear()
+    report = generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t", "u"]), datetime(2018, 1, 11), lookback_days=1)
+    assert read == [["t", "u"]]
+
+
+def test_without_the_prior_manifest_all_tables_are_searched(spark, tmp_path):
+    import shutil
+
+    root, log = tmp_path / "root", tmp_path / "log"
+    write_file(root, PRIOR, "t", "a.json", [document("t", f"k{i % 3}") for i in range(6)])
+    point_at(root, PRIOR)
+    write_log(spark, [change("t", "k0", 2, "20180107", "new"), change("t", "k1", 2, "20180109", "new")], log)
+    generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 9))
+    shutil.rmtree(root / "_manifests")
+    report = generate_snapshot(spark, str(root), str(log), live_frame(spark, ["t"]), datetime(2018, 1, 10))
+    assert read_back(root, report.name) == {"t": sorted([document("t", "k0", 2, "new"), document("t", "k1", 2, "new"), document("t", "k2")])}

@@ -10,11 +10,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
-from tidemark.schema import FILES_PER_COPY_TASK
+from tidemark.sinks.moves import move_files
 from tidemark.sources import storage
-from tidemark.sources.whole_files import file_tools
 
 # Readers pass over names that begin with an underscore.
 BATCHES = "_batches"
@@ -61,33 +60,9 @@ class BatchCommit:
         return not committed
 
     def _publish(self, batch: int) -> None:
-        """Move the staged files, about twenty per task, each to the same folder of the log. What was moved before is not there any more."""
-        staged = self.staged(batch)
-        if not storage.exists(self.spark, staged):
-            return
-        base, goal = storage.qualified(self.spark, staged), storage.qualified(self.spark, self.path)
-        files = [(folder, file, uri) for folder, file, uri in storage.files_below(self.spark, staged) if not file.startswith(("_", "."))]
-        prefix = f"{self.query}-{batch}"
-        opened, *_ = file_tools()
-
-        def move(batches):
-            from pyarrow import fs
-
-            for rows in batches:
-                for folder, file in zip(rows["folder"], rows["file"]):
-                    store, source = opened(base)
-                    _, target = opened(goal)
-                    if store.get_file_info(f"{source}/{folder}/{file}").type == fs.FileType.NotFound:
-                        continue  # an earlier attempt of this task
-                    store.create_dir(f"{target}/{folder}", recursive=True)
-                    # a task writes one file for each folder; its number tells the files of a folder apart
-                    store.move(f"{source}/{folder}/{file}", f"{target}/{folder}/part-{prefix}-{'-'.join(file.split('-')[1:2])}{file[file.index('.'):]}")
-                yield rows[["file"]]
-
-        if files:
-            listed = self.spark.createDataFrame(files, "folder string, file string, uri string").select("folder", "file")
-            listed.repartition(max(1, -(-len(files) // FILES_PER_COPY_TASK))).mapInPandas(move, "file string").agg(F.count("file")).collect()
-        storage.delete(self.spark, staged)
+        """Move the staged files to the same folders of the log; a replay moves what is left."""
+        move_files(self.spark, self.staged(batch), self.path, f"{self.query}-{batch}")
+        storage.delete(self.spark, self.staged(batch))
 
     def _forget_before(self, batch: int) -> None:
         """Only the last batch can be replayed: earlier records have done their work."""
