@@ -153,6 +153,10 @@ ORACLES = {
     "sort_changes": _sql("SELECT tbl, k, uid FROM changes ORDER BY tbl, k"),
     "snapshot_file_plan": f"""SELECT tbl, count(*) AS documents, (count(*) + 99) // 100 AS files
         FROM ({_REPEATED}) GROUP BY tbl""",
+    "snapshot_ranges": f"""SELECT tbl, file_number, min(k) AS first_key, max(k) AS last_key, count(*) AS documents FROM (
+        SELECT tbl, k, (row_number() OVER (PARTITION BY tbl ORDER BY k) - 1) * ((count(*) OVER (PARTITION BY tbl) + 199) // 200)
+          // count(*) OVER (PARTITION BY tbl) AS file_number
+        FROM (SELECT {_CUSTOMER_DOCUMENTS} FROM customer)) GROUP BY tbl, file_number""",
     "union_changes": _sql(f"SELECT tbl, k, uid FROM {_NEWEST}"),
     "union_tables": _sql(
         """SELECT tbl FROM live UNION ALL SELECT tbl FROM live

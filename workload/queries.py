@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import dates, identity, metadata, naming, payload
 from tidemark.operators import combine, newest, ordering, tables
+from tidemark.operators.ranges import key_ranges
 from tidemark.operators.table_set import TableSet
 from tidemark.plans.generate import generate_snapshot
 from tidemark.plans.merge import merge_snapshot
@@ -545,6 +546,12 @@ def stream_quarantine(spark, sf):
     return rejected.select(F.col("reason").alias("outcome"), name.alias("name"), told.alias("body")).unionByName(stored)
 
 
+def snapshot_ranges(spark, sf):
+    """Files of at most two hundred customers each, as their ranges of keys."""
+    documents = views.customer_documents(spark, sf).selectExpr("`table`", "key")
+    return short(key_ranges(documents, 200).drop("ordinal"), "table", "file_number", "first_key", "last_key", "documents")
+
+
 QUERIES = {
     "scan_changes": scan_changes,
     "live_tables_text": live_tables_text,
@@ -597,6 +604,7 @@ QUERIES = {
     "repeated_documents": repeated,
     "sort_changes": sort_changes,
     "snapshot_file_plan": file_plan,
+    "snapshot_ranges": snapshot_ranges,
     "union_changes": union_changes,
     "union_tables": union_tables,
     "encode_table_name": encode_table_name,
