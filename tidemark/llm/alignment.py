@@ -205,8 +205,9 @@ class Aligner:
         links = np.searchsorted(self._pairs, id_a[ia] << 32 | id_b[ib])
         first = np.searchsorted(key, np.arange(len(pieces) + 1))
         counts = [np.bincount(x["key"], minlength=len(pieces)) for x in (a, b)]
+        del a, b, both, linked
         # the groups as one run of words: of each group first the tokens of a, then those of b
-        words = np.empty(len(a) + len(b), object)
+        words = np.empty(len(id_a) + len(id_b), object)
         for names, ids, last, others in ((self._names[0], id_a, ia, np.r_[0, ib[:-1] + 1]), (self._names[1], id_b, ib, ia + 1)):
             nth = np.arange(len(ids))
             closes = np.zeros(len(ids), bool)
@@ -240,8 +241,11 @@ class Aligner:
             for row, found in block:
                 end = at + len(found)
                 groups[row].append(";".join(shown[at:end]))
-                links[row].append(flat[upto[at] - counts[at] : upto[end - 1]])
+                # a copy: a slice would keep the whole block
+                links[row].append(flat[upto[at] - counts[at] : upto[end - 1]].copy())
                 at = end
+            # not beside the next block's
+            del number, codes, owner, done, shown, low, counts, upto, flat
         for row in np.flatnonzero(wrong).tolist():
             n_a[row] = n_b[row] = 0
             groups[row], links[row] = [], []
