@@ -52,16 +52,17 @@ def drop_tombstones(newest: DataFrame) -> DataFrame:
 PAYLOAD_KEY = [*DOCUMENT_KEY, "updateId", "pollDate"]
 
 
-def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False) -> DataFrame:
+def change_payloads(changes: DataFrame, ids: DataFrame, small_ids: bool = False, along: tuple[str, ...] = ()) -> DataFrame:
     """Fetch encoding and payload of the picked changes from the log.
 
     ``ids`` comes from :func:`latest_change_ids`. The poll day is part of the join, as a redelivered change has
     the same id on another day; a row written twice on one day counts once. ``small_ids`` says that the caller
     has measured ``ids`` and a broadcast is safe; then log rows that lost never leave their scan task. For more ids,
-    let a :class:`tidemark.operators.key_filter.KeyFilter` over them take the losers out of ``changes`` first.
+    let a :class:`tidemark.operators.key_filter.KeyFilter` over them take the losers out of ``changes`` first. The columns
+    ``along`` of ``ids`` come with the payloads.
     """
     on = PAYLOAD_KEY
-    picked = ids.select(*on)
+    picked = ids.select(*on, *along)
     wide = changes.select(*on, "version", "lastUpdateTs", "deleted", "encoding", "content")
 
     def once(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tidemark.functions.dates import check_snapshot_order, window_days
 from tidemark.functions.naming import encode_table_name, format_snapshot_name, parse_snapshot_name
 from tidemark.functions.payload import decode_payload
-from tidemark.operators.combine import files_for, unchanged_documents
+from tidemark.operators.combine import unchanged_documents
 from tidemark.operators.key_filter import FILTER_BYTES, KeyFilter
 from tidemark.operators.newest import (
     PAYLOAD_KEY,
@@ -20,6 +20,7 @@ from tidemark.operators.newest import (
     latest_change_ids,
     repeated_documents,
 )
+from tidemark.operators.ranges import number_by_range
 from tidemark.operators.table_set import TableSet
 from tidemark.operators.tables import classify_tables
 from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE
@@ -37,7 +38,7 @@ class SnapshotReport:
     """What a compaction did.
 
     ``updated`` documents were written from changes, ``deleted`` ones have a delete as newest change, ``carried`` ones come from merged tables of
-    the previous snapshot (null with ``regroup``); all are counted by the jobs that write them.
+    the previous snapshot; all are counted by the jobs that write them.
     ``dropped`` lists, sorted, tables with changes that are no longer live; it is computed from the inputs when it is read.
     """
 
@@ -45,7 +46,7 @@ class SnapshotReport:
     days: list[str]
     updated: int
     deleted: int
-    carried: int | None
+    carried: int
     copied_files: int
     regrouped: bool
     dropped: DataFrame = field(repr=False)
@@ -118,27 +119,25 @@ def _write(
     picks = Observation("picks")
     ids = latest_change_ids(window, live=merged)
     ids = stage(ids.observe(picks, F.count(F.lit(1)).alias("changed"), F.count_if(F.col("deleted")).alias("deleted")), "changed", work)
-    per_table = stage(
-        ids.groupBy("table").agg(F.count(F.lit(1)).alias("changed"), F.count_if(F.col("deleted")).alias("deleted")), "per-table", work
-    )
     totals = picks.get
 
     # changed documents
     live_ids = drop_tombstones(ids)
+    # the range of keys, and so the file, of each document: found on the ids, it comes along with the payload
+    numbered = stage(number_by_range(live_ids.select(*PAYLOAD_KEY), documents_per_file, work), "numbered", work)
+    tasks = (numbered.agg(F.max("task")).first()[0] or 0) + 1
     picked = KeyFilter(live_ids, PAYLOAD_KEY, filter_bytes)
-    newest = change_payloads(merged.keep(window).where(picked.maybe()), live_ids)
-    live_counts = per_table.select("table", (F.col("changed") - F.col("deleted")).alias("documents"))
-    plan = live_counts.select("table", files_for(F.col("documents"), documents_per_file).alias("files"))
+    newest = change_payloads(merged.keep(window).where(picked.maybe()), numbered, along=("task",))
     text = decode_payload(F.col("encoding"), F.col("content"))
-    write_snapshot(newest.select("table", "key", text.alias("value")), target, documents_per_file, plan, work=work)
+    write_snapshot(newest.select("table", "key", text.alias("value"), "task"), target, documents_per_file, tasks)
 
     # documents carried over
     regrouped, carried = False, 0
     if not merged.is_empty():
         if regroup:
-            sizes = stage(_table_sizes(prior, merged), "sizes", work)
             documents = _carried(prior, merged, ids, work, strict, prior_unique, filter_bytes, known)
-            regrouped, carried = _write_regrouped(documents, prior, merged, sizes, target, documents_per_file, work), None
+            carried = _write_regrouped(documents, target, documents_per_file, work)
+            regrouped = carried > 0
         else:
             repeated = _repeated(prior, merged, known, work, strict, prior_unique)
             carried = _write_carried(prior, merged, ids, repeated, target, work, documents_per_file, strict, filter_bytes)
@@ -157,11 +156,6 @@ def _write(
     }
 
 
-def _table_sizes(prior: Snapshot, tables: TableSet) -> DataFrame:
-    """``table, files, bytes`` of the prior snapshot, from the listing."""
-    return prior.files(tables).groupBy("table").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-
-
 def _repeated(prior: Snapshot, tables: TableSet, known: DataFrame | None, work: str, strict: bool, prior_unique: bool) -> DataFrame | None:
     """Keys that a merged table holds more than once, or None if the manifest (or the caller) says that there are none."""
     if prior_unique:
@@ -231,14 +225,12 @@ def _write_carried(prior: Snapshot, tables: TableSet, ids: DataFrame, repeated:
     return written.get["documents"] + rest.get["documents"]
 
 
-def _write_regrouped(carried: DataFrame, prior: Snapshot, tables: TableSet, sizes: DataFrame, target, documents_per_file, work) -> bool:
-    """Append the carried documents in files of the target size; says whether there were any files to carry."""
-    files, size = sizes.agg(F.sum("files"), F.sum("bytes")).first()
-    if not files:
-        return False
-    lines = prior.lines(tables, position=False).count()
-    # share of the lines by bytes: only the number of files depends on it
-    estimate = F.greatest(F.ceil(F.col("bytes") * F.lit(lines / max(size, 1))), F.lit(1)).cast("bigint")
-    plan = sizes.select("table", files_for(estimate, documents_per_file).alias("files"))
-    write_snapshot(carried, target, documents_per_file, plan, mode="append", work=work)
-    return True
+def _write_regrouped(carried: DataFrame, target: str, documents_per_file: int, work: str) -> int:
+    """Append the carried documents in files of the target size, each a range of keys; returns their number."""
+    written = Observation("regrouped")
+    documents = stage(carried.observe(written, F.count(F.lit(1)).alias("documents")), "regroup", work)
+    if not written.get["documents"]:
+        return 0
+    # a folder of its own: that of the changes is still read
+    write_snapshot(documents, target, documents_per_file, mode="append", work=f"{work}/regrouped")
+    return written.get["documents"]

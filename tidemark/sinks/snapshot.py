@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.naming import encode_table_name, folder_name_of
-from tidemark.operators.combine import snapshot_file_plan
-from tidemark.schema import DOCUMENTS_PER_FILE, FILES_PER_COPY_TASK, POINTER_FILE
+from tidemark.operators.balance import balanced_tasks
+from tidemark.operators.ranges import number_by_range
+from tidemark.schema import DOCUMENT_KEY, DOCUMENTS_PER_FILE, FILES_PER_COPY_TASK, POINTER_FILE
 from tidemark.session import scratch_path, stage
 from tidemark.sources import storage
 from tidemark.sources.whole_files import file_tools
@@ -16,51 +17,50 @@ from tidemark.sources.whole_files import file_tools
 BYTES_PER_COPY_TASK = 512 * 1024 * 1024
 
 
-def group_into_files(documents: DataFrame, plan: DataFrame) -> DataFrame:
-    """Bring the documents of each output file together: one shuffle by ``(table, file number)``.
+def group_into_files(documents: DataFrame, tasks: int) -> DataFrame:
+    """Bring the documents of each output file together: one shuffle, to the task whose number ``task`` gives.
 
-    ``plan`` says how many files each table gets (``table, files``). A document's file follows from its key, so a
-    table with most of the documents is spread over as many groups as it has files, and no sampling pass over the
-    input is needed. Rows come out sorted by table, file number and key.
+    A task holds one range of keys of one table, or several small tables (:func:`tidemark.operators.ranges.number_by_range`), in
+    order, and so do the files it writes.
     """
-    total = plan.agg(F.sum("files")).first()[0] or 1
-    files = F.greatest(F.coalesce(F.col("files"), F.lit(1)), F.lit(1))
-    numbered = documents.join(plan.select("table", "files"), "table", "left").withColumn(
-        "file_number", F.pmod(F.xxhash64("key"), files)
-    )
-    order = ["table", "file_number"]
-    return numbered.repartition(total, *order).sortWithinPartitions(*order, "key").drop("files")
+    return documents.repartitionById(tasks, F.col("task")).sortWithinPartitions("table", "key")
+
+
+def _with_tasks(documents: DataFrame, documents_per_file: int, work: str) -> tuple[DataFrame, int]:
+    """``documents`` and the task each belongs to, copies of a document to one; and the number of tasks."""
+    numbered = number_by_range(documents.select(*DOCUMENT_KEY), documents_per_file, work)
+    places = stage(numbered.groupBy(*DOCUMENT_KEY).agg(F.min("task").alias("task")), "places", work)
+    tasks = (places.agg(F.max("task")).first()[0] or 0) + 1
+    return documents.join(places, DOCUMENT_KEY, "left").withColumn("task", F.coalesce("task", F.lit(0))), tasks
 
 
 def write_snapshot(
     documents: DataFrame,
     path: str,
     documents_per_file: int = DOCUMENTS_PER_FILE,
-    plan: DataFrame | None = None,
+    tasks: int | None = None,
     grouped: bool = True,
     mode: str = "overwrite",
     work: str | None = None,
 ) -> None:
     """``table, key, value`` rows to gzipped JSON lines, one directory per table.
 
-    Grouped, each table gets about ``rows / documents_per_file`` files, sorted by key; ``plan`` saves counting for
-    that, else the rows are counted per table first. Ungrouped rows are written by the tasks that hold them,
-    without a shuffle. Either way no file exceeds ``documents_per_file``.
+    Grouped, each table gets ``rows / documents_per_file`` files, rounded up, of equally many documents; each holds a contiguous range of
+    keys, sorted, and no two files of a table overlap. Rows that come with a ``task`` below ``tasks``, as
+    :func:`tidemark.operators.ranges.number_by_range` gives it, are shuffled once; else the keys are numbered first and joined.
+    Ungrouped rows are written by the tasks that hold them, without a shuffle. Either way no file exceeds ``documents_per_file``.
     """
     spark, own = documents.sparkSession, None
-    if grouped and plan is None:
-        own = None if work else scratch_path(spark, "plan")
-        plan = stage(snapshot_file_plan(documents, documents_per_file), "plan", work or own)
-    # encoded before the sort: the writer then finds its partition column in order and does not sort again
-    encoded = encode_table_name(F.col("table"))
-    lines = documents.select(encoded.alias("table"), "key", "value")
-    if grouped:
-        # two names may share a directory
-        folders = plan.select(encoded.alias("table"), "files").groupBy("table").agg(F.sum("files").alias("files"))
-        lines = group_into_files(lines, folders)
     try:
+        if grouped and tasks is None:
+            own = None if work else scratch_path(spark, "plan")
+            documents, tasks = _with_tasks(documents.select(*DOCUMENT_KEY, "value"), documents_per_file, work or own)
+        # encoded before the sort: the writer then finds its partition column in order and does not sort again
+        documents = documents.withColumn("table", encode_table_name(F.col("table")))
+        if grouped:
+            documents = group_into_files(documents, tasks)
         (
-            lines.select("table", "value")
+            documents.select("table", "value")
             .write.mode(mode)
             .partitionBy("table")
             .option("compression", "gzip")
@@ -72,15 +72,16 @@ def write_snapshot(
             storage.delete(spark, own)
 
 
-def _spread(files: DataFrame, count: int | None) -> DataFrame:
-    """A file listing at about twenty files or :data:`BYTES_PER_COPY_TASK` per task; only names are shuffled."""
-    total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    tasks = max(1, -(-(count or total[0]) // FILES_PER_COPY_TASK), -(-total[1] // BYTES_PER_COPY_TASK))
-    return files.select("table", "file", "path", folder_name_of(F.col("path")).alias("folder")).repartition(tasks)
+def _spread(files: DataFrame) -> DataFrame:
+    """A file listing at about twenty files or :data:`BYTES_PER_COPY_TASK` per task, balanced by bytes; only names are shuffled."""
+    count, total = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, -(-count // FILES_PER_COPY_TASK), -(-total // BYTES_PER_COPY_TASK))
+    named = files.select("table", "file", "path", "bytes", folder_name_of(F.col("path")).alias("folder"))
+    return balanced_tasks(named, tasks, count, total).repartitionById(tasks, F.col("task")).drop("task", "bytes")
 
 
-def copy_files(files: DataFrame, target: str, count: int | None = None, plain: bool = False) -> DataFrame:
-    """Copy snapshot files byte for byte, about twenty per task; returns ``table, file, bytes`` as copied.
+def copy_files(files: DataFrame, target: str, plain: bool = False) -> DataFrame:
+    """Copy snapshot files byte for byte, about twenty per task and evenly by bytes; returns ``table, file, bytes`` as copied.
 
     ``files`` is a listing as :func:`tidemark.sources.snapshot.snapshot_files` gives it. File names stay; the table
     directory becomes ``table=<name>`` like the ones the writer makes, or ``<name>`` if ``plain``. Each task streams
@@ -109,10 +110,10 @@ def copy_files(files: DataFrame, target: str, count: int | None = None, plain: b
                 sizes.append(sink.get_file_info(f"{folder_path}/{file}").size)
             yield batch[["table", "file"]].assign(bytes=sizes)
 
-    return _spread(files, count).mapInPandas(copy, "table string, file string, bytes long")
+    return _spread(files).mapInPandas(copy, "table string, file string, bytes long")
 
 
-def name_files(files: DataFrame, target: str, count: int | None = None, work: str | None = None) -> int:
+def name_files(files: DataFrame, target: str, work: str | None = None) -> int:
     """Turn a written snapshot's layout into ``<table>/<table>-<md5 of the first key>.gz``; returns the number of files.
 
     For readers that expect those names. Files are renamed within their store, about twenty per task, each task
@@ -159,7 +160,7 @@ def name_files(files: DataFrame, target: str, count: int | None = None, work: st
                     sink.delete_dir(f"{base}/{folder}")
             yield batch[["folder"]]
 
-    renamed = stage(_spread(files, count).mapInPandas(rename, "table string, folder string"), "renamed", work)
+    renamed = stage(_spread(files).mapInPandas(rename, "table string, folder string"), "renamed", work)
     emptied = renamed.where(F.col("folder").startswith("table=")).select("folder").distinct()
     emptied.mapInPandas(remove, "folder string").count()
     return renamed.count()

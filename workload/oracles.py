@@ -157,6 +157,11 @@ ORACLES = {
         SELECT tbl, k, (row_number() OVER (PARTITION BY tbl ORDER BY k) - 1) * ((count(*) OVER (PARTITION BY tbl) + 199) // 200)
           // count(*) OVER (PARTITION BY tbl) AS file_number
         FROM (SELECT {_CUSTOMER_DOCUMENTS} FROM customer)) GROUP BY tbl, file_number""",
+    "range_files": """SELECT lang AS tbl, CAST(doc_id AS VARCHAR) AS k,
+        (row_number() OVER (PARTITION BY lang ORDER BY CAST(doc_id AS VARCHAR)) - 1) * ((count(*) OVER (PARTITION BY lang) + 99) // 100)
+          // count(*) OVER (PARTITION BY lang) AS file_number FROM documents""",
+    "balanced_files": """SELECT count(*) AS files, CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS bytes, TRUE AS bytes_fit, TRUE AS files_fit
+        FROM documents""",
     "union_changes": _sql(f"SELECT tbl, k, uid FROM {_NEWEST}"),
     "union_tables": _sql(
         """SELECT tbl FROM live UNION ALL SELECT tbl FROM live

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import dates, identity, metadata, naming, payload
 from tidemark.operators import combine, newest, ordering, tables
-from tidemark.operators.ranges import key_ranges
+from tidemark.operators.balance import balanced_tasks
+from tidemark.operators.ranges import key_ranges, number_by_range
 from tidemark.operators.table_set import TableSet
 from tidemark.plans.generate import generate_snapshot
 from tidemark.plans.merge import merge_snapshot
@@ -552,6 +553,26 @@ def snapshot_ranges(spark, sf):
     return short(key_ranges(documents, 200).drop("ordinal"), "table", "file_number", "first_key", "last_key", "documents")
 
 
+def range_files(spark, sf):
+    """Documents by language, each with the number of the file it is written to."""
+    keys = table(spark, sf, "documents").selectExpr("lang AS `table`", "string(doc_id) AS key")
+    return short(number_by_range(keys, 100), "table", "key", "file_number")
+
+
+def balanced_files(spark, sf):
+    """Documents as files that cannot be split, over tasks of fifty on average: what the fullest task may hold."""
+    files = table(spark, sf, "documents").selectExpr("string(doc_id) AS path", "n_chars AS bytes")
+    count, total, largest = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    tasks = -(-count // 50) or 1
+    held = balanced_tasks(files, tasks, count, total).groupBy("task").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    return held.agg(
+        F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).cast("bigint").alias("bytes"),
+        F.coalesce(F.max("bytes") * tasks <= 2 * (total + tasks) + largest * tasks, F.lit(True)).alias("bytes_fit"),
+        F.coalesce(F.max("files") * tasks <= 2 * count + 2 * tasks, F.lit(True)).alias("files_fit"),
+    )
+
+
 QUERIES = {
     "scan_changes": scan_changes,
     "live_tables_text": live_tables_text,
@@ -605,6 +626,8 @@ QUERIES = {
     "sort_changes": sort_changes,
     "snapshot_file_plan": file_plan,
     "snapshot_ranges": snapshot_ranges,
+    "range_files": range_files,
+    "balanced_files": balanced_files,
     "union_changes": union_changes,
     "union_tables": union_tables,
     "encode_table_name": encode_table_name,
