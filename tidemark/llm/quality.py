@@ -33,7 +33,7 @@ _DIGITS = arrays.byte_class((48, 57))
 _MARKS = np.isin(np.arange(256), list(b"!?"))
 _PUNCTUATION = arrays.byte_class((33, 47), (58, 64), (91, 96), (123, 126))
 _WORD_BYTES = arrays.byte_class((48, 57), (65, 90), (97, 122), (128, 255))
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 
 
 def repeated_words(hashes: np.ndarray, rows: np.ndarray, width: int = 5) -> np.ndarray:
