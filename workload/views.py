@@ -214,7 +214,8 @@ def customer_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _document_log(spark, sf_dir, path):
-    events = with_metadata(event_documents(spark, sf_dir))
+    # spread before they are parsed: a small file is read by few tasks
+    events = with_metadata(event_documents(spark, sf_dir).repartition("event_id"))
     append_change_log(to_change_rows(events, received=F.timestamp_millis(F.col("lastUpdateTs"))), path)
 
 
@@ -265,7 +266,7 @@ def _hidden_log(spark, sf_dir, path):
     changed = with_metadata(
         hidden_documents(spark, sf_dir).where("key % 5 = 0").selectExpr(
             "replace(replace(value, '2023-12-31', '2024-01-15'), 'Customer', 'Changed') AS value"
-        )
+        ).repartition("value")
     )
     append_change_log(to_change_rows(changed, received=F.timestamp_millis(F.col("lastUpdateTs"))), path)
 
