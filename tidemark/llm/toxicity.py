@@ -63,8 +63,8 @@ class _Compressor:
         known.precompute_compress(compression_params=settings)
         self._compress, self._anchor = zstandard.ZstdCompressor(dict_data=known, compression_params=settings).compress, anchor
 
-    def length(self, window: bytes) -> int:
-        return len(self._compress(self._anchor + window))
+    def lengths(self, windows: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(len, map(self._compress, [self._anchor + window for window in windows])), np.float64, len(windows))
 
 
 @dataclass
@@ -85,9 +85,10 @@ class ToxicityModel:
         """By how many bytes each window is shorter with the toxic dictionary."""
         if not hasattr(self, "_pair"):
             anchor = self.base[-_ANCHOR:]
-            self._pair = _Compressor(self.base + self.toxic, anchor).length, _Compressor(self.base + self.ordinary, anchor).length
+            self._pair = _Compressor(self.base + self.toxic, anchor).lengths, _Compressor(self.base + self.ordinary, anchor).lengths
         toxic, ordinary = self._pair
-        return np.array([ordinary(w) - toxic(w) for w in windows_of(words_of(text))], np.float64)
+        windows = windows_of(words_of(text))
+        return ordinary(windows) - toxic(windows)
 
     def features(self, text: bytes) -> np.ndarray:
         gains = np.sort(self.gains(text))[::-1]
