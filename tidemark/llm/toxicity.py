@@ -9,6 +9,10 @@ logistic curve calibrated on labelled texts turns them into a probability.
 The texts for the two dictionaries are the words whose share of documents differs most between the classes. Every
 compressed window begins with a passage of the base: zstandard stores short blocks as they are unless it saves a few bytes, and
 the passage makes sure that it does, so lengths vary smoothly.
+
+Most of the time goes into compressing. A window that has no :data:`MIN_MATCH` bytes in a row in common with the text of either class
+cannot be matched there and gains nothing; it is not compressed (zstandard would still tell one in forty apart, where class text
+displaces places of the base in its hash table). A window that a block of texts holds many times (told by 64-bit hashes) is compressed once.
 """
 
 from __future__ import annotations
@@ -32,6 +36,10 @@ WINDOW_WORDS, WINDOW_STEP = 3, 1
 BASE_BYTES, CLASS_BYTES = 32 << 10, 2 << 10
 _ANCHOR = 64
 _EDGES = b".,;:!?()\"'"
+_EDGE = arrays.byte_class(*((mark, mark) for mark in _EDGES))
+_CALL_BYTES, _BLOCK_BYTES = 1 << 20, 2 << 20
+#: The shortest match: a word of three letters, the shortest that is learned, between its spaces.
+MIN_MATCH = 5
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -44,6 +52,57 @@ def windows_of(words: list[bytes]) -> list[bytes]:
     return [b" " + b" ".join(words[k : k + WINDOW_WORDS]) + b" " for k in range(0, max(1, len(words) - 1), WINDOW_STEP)]
 
 
+def _word_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of each text (as :func:`words_of` has them) behind one space each, all texts in a row, and a last space.
+
+    Returns these bytes, the place of each space, and each text's number of words. A text without words has one empty word.
+    """
+    starts, ends = arrays.word_spans(data, offsets, arrays.NOT_SPACE)
+    inner = np.flatnonzero(arrays.NOT_SPACE[data] & ~_EDGE[data])
+    low, high = np.searchsorted(inner, starts), np.searchsorted(inner, ends)
+    some = high > low
+    starts, ends = inner[low[some]], inner[high[some] - 1] + 1
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    said = arrays.lower_ascii(data)[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+    counts = arrays.per_row(arrays.rows_of(starts, offsets), len(offsets) - 1)
+    silent = np.flatnonzero(counts == 0)
+    sizes = np.insert(ends - starts, (np.cumsum(counts) - counts)[silent], 0)
+    counts[silent] = 1
+    spaces = np.concatenate([[0], np.cumsum(sizes + 1)])
+    line = np.full(spaces[-1] + 1, 0x20, np.uint8)
+    word_bytes = np.ones(len(line), bool)
+    word_bytes[spaces] = False
+    line[word_bytes] = said
+    return line, spaces, counts
+
+
+def _window_spans(spaces: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the windows of :func:`windows_of` start and end in the line of :func:`_word_lines`, and how many each text has."""
+    many = -(-np.maximum(1, counts - 1) // WINDOW_STEP)
+    last = np.cumsum(counts)
+    row = np.repeat(np.arange(len(counts)), many)
+    first = (last - counts)[row] + (np.arange(len(row)) - (np.cumsum(many) - many)[row]) * WINDOW_STEP
+    return spaces[first], spaces[np.minimum(first + WINDOW_WORDS, last[row])] + 1, many
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """The next :data:`MIN_MATCH` bytes at each place as one number."""
+    out = np.zeros(max(0, len(data) - MIN_MATCH + 1), np.uint64)
+    for k in range(MIN_MATCH):
+        out <<= np.uint64(8)
+        out |= data[k : k + len(out)]
+    return out
+
+
+_SLOT_BITS = 20
+
+
+def _slot(grams: np.ndarray) -> np.ndarray:
+    return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)
+
+
 def _dictionary(samples: list[bytes], size: int, segment: int) -> bytes:
     """A trained dictionary, or the samples themselves where they are too few to train on."""
     samples = [sample for sample in samples if len(sample) >= 8]
@@ -54,17 +113,17 @@ def _dictionary(samples: list[bytes], size: int, segment: int) -> bytes:
 
 
 class _Compressor:
-    def __init__(self, content: bytes, anchor: bytes):
+    def __init__(self, content: bytes):
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         settings = zstandard.ZstdCompressionParameters.from_level(
             3, source_size=128, dict_size=len(content), write_content_size=False, write_checksum=False, write_dict_id=False,
-            format=zstandard.FORMAT_ZSTD1_MAGICLESS, min_match=4, strategy=zstandard.STRATEGY_DFAST,
+            format=zstandard.FORMAT_ZSTD1_MAGICLESS, min_match=MIN_MATCH, strategy=zstandard.STRATEGY_DFAST,
         )
         known.precompute_compress(compression_params=settings)
-        self._compress, self._anchor = zstandard.ZstdCompressor(dict_data=known, compression_params=settings).compress, anchor
+        self._compress = zstandard.ZstdCompressor(dict_data=known, compression_params=settings).multi_compress_to_buffer
 
     def lengths(self, windows: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(len, map(self._compress, [self._anchor + window for window in windows])), np.float64, len(windows))
+        return np.fromiter(map(len, self._compress(windows)), np.float64, len(windows))
 
 
 @dataclass
@@ -81,18 +140,57 @@ class ToxicityModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
-    def gains(self, text: bytes) -> np.ndarray:
-        """By how many bytes each window is shorter with the toxic dictionary."""
+    def _gains_of(self, windows: list[bytes]) -> np.ndarray:
         if not hasattr(self, "_pair"):
-            anchor = self.base[-_ANCHOR:]
-            self._pair = _Compressor(self.base + self.toxic, anchor).lengths, _Compressor(self.base + self.ordinary, anchor).lengths
+            self._pair = _Compressor(self.base + self.toxic).lengths, _Compressor(self.base + self.ordinary).lengths
         toxic, ordinary = self._pair
-        windows = windows_of(words_of(text))
         return ordinary(windows) - toxic(windows)
 
-    def features(self, text: bytes) -> np.ndarray:
-        gains = np.sort(self.gains(text))[::-1]
-        return np.array([gains[0], gains[:3].mean(), (gains >= 4).mean(), (gains >= 6).mean(), np.log1p((gains >= 6).sum()), gains.mean(), math.log(len(gains))])
+    def _shares(self, line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which windows have :data:`MIN_MATCH` bytes in a row in common with the text of either class: no other can be matched there."""
+        if not hasattr(self, "_known"):
+            self._known = np.unique(np.concatenate([_grams(np.frombuffer(text, np.uint8)) for text in (self.toxic, self.ordinary)]))
+            self._slots = np.zeros(1 << _SLOT_BITS, bool)
+            self._slots[_slot(self._known)] = True
+        grams = _grams(line)
+        places = np.flatnonzero(self._slots[_slot(grams)])
+        before = np.zeros(len(line) + 1, np.int32)
+        before[places[np.isin(grams[places], self._known)] + 1] = 1
+        np.cumsum(before, out=before)
+        return before[np.maximum(ends - MIN_MATCH + 1, starts)] > before[starts]
+
+    def _gains(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gains of all windows of a block of texts, and the number of windows of each text."""
+        line, spaces, counts = _word_lines(data, offsets)
+        starts, ends, many = _window_spans(spaces, counts)
+        gains, sharing = np.zeros(len(starts)), np.flatnonzero(self._shares(line, starts, ends))
+        if not len(sharing):
+            return gains, many
+        starts, ends = starts[sharing], ends[sharing]
+        _, chosen, place = np.unique(arrays.hash_spans(line, starts, ends), return_index=True, return_inverse=True)
+        starts, ends, said, anchor = starts[chosen], ends[chosen], line.tobytes(), self.base[-_ANCHOR:]
+        filled = np.cumsum(ends - starts + len(anchor)) // _CALL_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(chosen)]
+        spans = [zip(starts[a:b].tolist(), ends[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
+        gains[sharing] = np.concatenate([self._gains_of([anchor + said[a:b] for a, b in span]) for span in spans])[place]
+        return gains, many
+
+    def gains(self, text: bytes) -> np.ndarray:
+        """By how many bytes each window is shorter with the toxic dictionary."""
+        return self._gains(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+
+    def features(self, texts: pa.Array) -> np.ndarray:
+        """One row of numbers for each text; null texts count as empty."""
+        rows = []
+        for _, _, data, offsets in arrays.row_blocks(texts, _BLOCK_BYTES):
+            gains, many = self._gains(data, offsets)
+            rows += map(self._summary, np.split(gains, np.cumsum(many)[:-1]))
+        return np.array(rows)
+
+    @staticmethod
+    def _summary(gains: np.ndarray) -> list[float]:
+        gains = np.sort(gains)[::-1]
+        return [gains[0], gains[:3].mean(), (gains >= 4).mean(), (gains >= 6).mean(), np.log1p((gains >= 6).sum()), gains.mean(), math.log(len(gains))]
 
     def chances(self, features: np.ndarray) -> np.ndarray:
         odds = np.c_[(features - self.center) / self.spread, np.ones(len(features))] @ self.weights
@@ -103,7 +201,7 @@ class ToxicityModel:
             return pa.array([0.0] * len(texts), pa.float64())
         if not len(texts):
             return pa.array([], pa.float64())
-        return pa.array(self.chances(np.array([self.features(x.as_py() if x.is_valid else b"") for x in texts])), pa.float64())
+        return pa.array(self.chances(self.features(texts)), pa.float64())
 
     def score(self, docs: DataFrame, text: str = "text") -> Column:
         """Probability (0 to 1) that a text is toxic. Null and empty texts have one empty window; without a trained model all score 0."""
@@ -190,7 +288,7 @@ def fit(toxic: list[bytes], ordinary: list[bytes], toxic_share: float, keep: int
     said = [[words_of(text) for text in texts] for texts in (toxic, ordinary)]
     bad, plain = ([_material(words, mark) for words in texts] for texts, mark in zip(said, _telling(*said, keep)))
     model = _dictionaries([x for x, _ in bad], [x for x, _ in plain], [passage for _, passages in plain for passage in passages])
-    features = np.array([model.features(text) for text in toxic + ordinary])
+    features = model.features(pa.array(toxic + ordinary, pa.binary()))
     return _calibrate(model, features, np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))], toxic_share)
 
 
@@ -234,7 +332,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     shared = spark.sparkContext.broadcast(model)
 
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.features(x.as_py()).tolist() for x in texts], pa.list_(pa.float64()))
+        return pa.array(shared.value.features(texts).tolist(), pa.list_(pa.float64()))
 
     measured = picked.select("id", "label", F.arrow_udf(features, returnType=T.ArrayType(T.DoubleType()))("text").alias("f")).orderBy(*order).collect()
     return _calibrate(model, np.array([row["f"] for row in measured]), np.array([float(row["label"]) for row in measured]), label_share(counts))
